@@ -69,13 +69,13 @@ def jaccard(a: Column, b: Column) -> Column:
 
 def words(col: Column) -> Column:
     """Distinct words of a cleaned value."""
-    return F.array_distinct(F.filter(F.split(col, " "), lambda w: w != ""))
+    return F.array_distinct(F.array_remove(F.split(col, " "), ""))
 
 
 def hashed_words(col: Column) -> Column:
     """Distinct words as sorted 64-bit hashes; empty for a blank value."""
-    hashes = F.transform(words(F.coalesce(col, F.lit(""))), lambda w: F.xxhash64(w))
-    return F.array_sort(F.array_distinct(hashes))
+    split = F.array_remove(F.split(F.coalesce(col, F.lit("")), " "), "")
+    return F.sort_array(F.array_distinct(F.transform(split, lambda w: F.xxhash64(w))))
 
 
 def hashed_grams(col: Column, tag: str, size: int = 3) -> Column:

@@ -41,22 +41,45 @@ def ascii_tables() -> tuple[str, str, dict[str, str]]:
     return "".join(single), "".join(single.values()), several
 
 
+def _spell_out(col: Column, several: dict[str, str]) -> Column:
+    """Replace letters that need several characters; plain ASCII skips the search."""
+    spelled = col
+    for letter, replacement in several.items():
+        spelled = F.replace(spelled, F.lit(letter), F.lit(replacement))
+    return F.when(F.length(col) == F.octet_length(col), col).otherwise(spelled)
+
+
 def to_ascii(col: Column) -> Column:
     """Latin letters and typographic marks as ASCII; other scripts pass through."""
     letters, plain, several = ascii_tables()
-    col = F.translate(col, letters, plain)
-    for letter, replacement in several.items():
-        col = F.replace(col, F.lit(letter), F.lit(replacement))
-    return col
+    return _spell_out(F.translate(col, letters, plain), several)
+
+
+def _ascii_lower(col: Column, marks: dict[str, str]) -> Column:
+    """ASCII, lower case and ``marks`` (each to one character or none) in one
+    pass over the characters; letters needing several follow where any are left."""
+    letters, plain, several = ascii_tables()
+    table = dict(marks)
+    table.update({a: marks.get(b, b) for a, b in zip(letters, plain)})
+    spelled = {}
+    for letter, long in several.items():
+        long = "".join(marks.get(c, c) for c in long)
+        if long.strip(" ") == "" and long:
+            table[letter] = " "  # runs of spaces collapse anyway
+        else:
+            spelled[letter.lower()] = long.lower()
+    kept = {a: b for a, b in table.items() if b}
+    gone = [a for a, b in table.items() if not b]
+    mapped = F.translate(col, "".join([*kept, *gone]), "".join(kept.values()))
+    return _spell_out(F.lower(mapped), spelled)
 
 
 def strip(col: Column, chars: str = WHITESPACE) -> Column:
     return F.btrim(col, F.lit(chars))
 
 
-def _strip_quotes_lower(col: Column) -> Column:
-    col = strip(strip(strip(col), '"'), "'")
-    return strip(F.lower(col))
+def _strip_quotes(col: Column) -> Column:
+    return strip(strip(strip(strip(col), '"'), "'"))
 
 
 def blank_to_null(col: Column) -> Column:
@@ -84,9 +107,8 @@ def normalise_key(col: Column, mode: str = "compat") -> Column:
 
 def normalise_text(col: Column) -> Column:
     """Dedup cleaning: runs of spaces collapse before newlines become spaces."""
-    col = F.regexp_replace(to_ascii(col), "  +", " ")
-    col = F.translate(col, "\n", " ")
-    return blank_to_null(_strip_quotes_lower(col))
+    col = F.regexp_replace(_ascii_lower(col, {}), "  +", " ")
+    return blank_to_null(_strip_quotes(F.translate(col, "\n", " ")))
 
 
 def normalise_link_text(col: Column, comma: str = " ") -> Column:
@@ -94,11 +116,9 @@ def normalise_link_text(col: Column, comma: str = " ") -> Column:
 
     ``comma=" "`` spaces a comma like the other marks, ``comma=""`` removes it.
     """
-    spaced = "\n-./:" + ("," if comma else "")
-    removed = "'" + ("" if comma else ",")
-    col = F.translate(to_ascii(col), spaced + removed, " " * len(spaced))
-    col = F.regexp_replace(col, "  +", " ")
-    return F.coalesce(_strip_quotes_lower(col), F.lit(""))
+    marks = {**dict.fromkeys("\n-./:", " "), "'": "", ",": comma}
+    col = F.regexp_replace(_ascii_lower(col, marks), "  +", " ")
+    return F.coalesce(_strip_quotes(col), F.lit(""))
 
 
 def normalise_zip(col: Column, mode: str = "strict") -> Column:

@@ -1,12 +1,16 @@
 """Candidate pairs without comparing everything with everything.
 
-Two records are candidates when their token sets have a Jaccard similarity of
-at least ``threshold`` (above one half). That is found exactly by prefix
-filtering: put every record's tokens in one global order, rarest first; two
-sets that similar must share a token among the first few of each. Records meet
-only on those rare tokens, so a value many records have in common (a missing
-zip, a frequent word) brings nobody together. Where even the rare tokens are
-frequent, pairs of tokens take their place, which is exact as well.
+Two records are candidates when they agree on a key of at least one blocking
+rule and their token sets have a Jaccard similarity of at least ``threshold``
+(above one half). Keys are computed where the record is, and a few per record
+are shuffled.
+
+A key may be shared by very many records. Blocks up to a size are paired
+directly; a larger one is not. There the similarity is used to look only at
+records that can reach it (prefix filtering, which is exact): put each record's
+tokens in one global order, rarest first; two sets that similar must share
+several tokens among the first few of each. So a value half the records have
+in common brings nobody together, and nobody is left out either.
 """
 
 from __future__ import annotations
@@ -19,10 +23,12 @@ from pyspark.sql import functions as F
 from kinmaster import schema as S
 from kinmaster.functions.similarity import jaccard, words
 from kinmaster.functions.text import is_blank
-from kinmaster.operators.records import feature_columns, fixed_score
+from kinmaster.operators.records import feature_columns, fixed_score, with_words
 from kinmaster.schema import FieldSpec
 from kinmaster.session import materialise
 
+# Blocks up to this many records are paired directly.
+BLOCK_LIMIT = 100
 # Token frequencies are kept per hash bucket: a fixed number of rows, whatever
 # the vocabulary, so the table may be broadcast. Any global order is exact; a
 # shared bucket only makes a token look more frequent than it is.
@@ -31,63 +37,163 @@ FREQUENCY_BUCKETS = 1 << 18
 FREQUENT = 1000
 
 
-# --- prefix signatures --------------------------------------------------------
+# --- rules ------------------------------------------------------------------------
+# A rule is a column with an array of keys; blank keys are ignored.
+
+
+def rule_exact(column: str) -> Column:
+    return F.array(F.col(column).cast("string"))
+
+
+def rule_first_chars(column: str, n: int) -> Column:
+    return F.array(F.substring(F.col(column), 1, n))
+
+
+def _first_token(column: str) -> Column:
+    return F.substring_index(F.col(column), " ", 1)
+
+
+def rule_first_token(column: str) -> Column:
+    return F.array(_first_token(column))
+
+
+def rule_soundex(column: str) -> Column:
+    return F.array(F.soundex(_first_token(column)))
+
+
+def rule_sorted_tokens(column: str) -> Column:
+    return F.array(F.concat_ws(" ", F.sort_array(words(F.col(column)))))
+
+
+def rule_both(first: Column, second: Column) -> Column:
+    """Both rules' keys together; nothing if either is blank."""
+    a, b = F.element_at(first, 1), F.element_at(second, 1)
+    return F.array(F.when(~is_blank(a) & ~is_blank(b), F.concat_ws("|", a, b)))
+
+
+def rule_zip_and_name(zip_column: str, name_column: str, digits: int = 3, chars: int = 3) -> Column:
+    return rule_both(rule_first_chars(zip_column, digits), rule_first_chars(name_column, chars))
+
+
+def rule_phrases(column: str, length: int = 3, keep: int = 8) -> Column:
+    """The ``keep`` phrases of ``length`` words that come first by digest.
+
+    A sketch of the whole text: which phrases are kept does not depend on where
+    they stand, so texts with much in common keep some of the same ones.
+    """
+    def phrases(tokens: Column) -> Column:
+        last = F.greatest(F.size(tokens) - (length - 1), F.lit(1))
+        return F.transform(
+            F.sequence(F.lit(1), last),
+            lambda i: F.md5(F.concat_ws(" ", *[F.get(tokens, i + (k - 1)) for k in range(length)])),
+        )
+
+    # The outer one-element array names the word list, so that it is made once.
+    tokens = F.array_remove(F.split(F.col(column), " "), "")
+    found = F.element_at(F.transform(F.array(tokens), phrases), 1)
+    kept = F.slice(F.sort_array(F.array_distinct(found)), 1, keep)
+    return F.when(~is_blank(F.col(column)), kept).otherwise(F.array().cast("array<string>"))
+
+
+def account_rules() -> dict[str, Column]:
+    """The rules for account records."""
+    return {
+        "name": rule_exact("name"),
+        "name_sorted": rule_sorted_tokens("name"),
+        "name_start_city": rule_both(rule_first_chars("name", 5), rule_exact("city")),
+        "name_sound_state": rule_both(rule_soundex("name"), rule_exact("state")),
+        "zip_name": rule_zip_and_name("zip", "name"),
+        "address": rule_exact("address"),
+    }
+
+
+def block_keys(df: DataFrame, record_id: str, rules: Mapping[str, Column]) -> DataFrame:
+    """(record_id, rule, key), one row per key."""
+
+    def named(rule: str, keys: Column) -> Column:
+        return F.transform(keys, lambda k: F.struct(F.lit(rule).alias("rule"), k.alias("key")))
+
+    keyed = F.concat(*[named(rule, keys) for rule, keys in rules.items()])
+    return df.select(F.col(record_id).alias("record_id"), F.inline(keyed)).where(~is_blank(F.col("key"))).distinct()
+
+
+# --- prefix signatures ----------------------------------------------------------------
 
 
 def signatures(tokens: DataFrame, threshold: float, frequent: int = FREQUENT) -> DataFrame:
-    """(sig, record_id, n_tokens): records similar enough share a ``sig``.
+    """(record_id, sig, single, n_tokens, needed).
 
-    ``tokens`` has ``record_id`` (unique) and ``tokens``.
+    ``tokens`` has ``record_id`` (unique) and ``tokens``. Records similar enough
+    share either a signature that is not ``single``, or as many single ones as
+    the smaller ``needed`` of the two says.
     """
     if not 0.5 < threshold <= 1.0:
         raise ValueError("the similarity threshold must be above 0.5 and at most 1")
     bucket = F.pmod(F.col("token"), F.lit(FREQUENCY_BUCKETS)).alias("bucket")
     exploded = tokens.select("record_id", F.explode("tokens").alias("token")).select("*", bucket)
     counts = exploded.groupBy("bucket").agg(F.count(F.lit(1)).alias("df"))
+    n, needed = F.col("n_tokens"), F.col("needed")
     ordered = (
         exploded.join(F.broadcast(counts), "bucket")
         .groupBy("record_id")
-        .agg(F.array_sort(F.collect_list(F.struct("df", "token"))).alias("t"))
+        .agg(F.sort_array(F.collect_list(F.struct("df", "token"))).alias("t"))
         .withColumn("n_tokens", F.size("t"))
-        # First position after which too few tokens are left to be similar.
-        .withColumn("cut", (F.col("n_tokens") - F.ceil(F.col("n_tokens") * threshold - 1e-9) + 1).cast("int"))
+        .withColumn("needed", (F.floor(n / 20) + 1).cast("int"))
+        # Similar sets have ``needed + 1`` common tokens before this position.
+        .withColumn("cut", (n - F.ceil(n * threshold - 1e-9) + needed + 1).cast("int"))
+        .withColumn("t", F.slice("t", F.lit(1), F.col("cut")))
     )
-    return ordered.select(
-        F.explode(F.expr(
-            f"""
-            array_distinct(concat(
-              transform(filter(slice(t, 1, cut), x -> x.df <= {frequent} OR n_tokens = 1), x -> x.token),
-              flatten(transform(
-                filter(transform(slice(t, 1, cut), (x, i) -> struct(i AS i, x AS x)),
-                       p -> p.x.df > {frequent} AND n_tokens > 1),
-                p -> transform(slice(t, p.i + 2, cut - p.i), y -> xxhash64(p.x.token, y.token))))
-            ))
-            """
-        )).alias("sig"),
-        "record_id",
-        "n_tokens",
+    sigs = F.expr(
+        f"""
+        concat(
+          transform(filter(t, x -> x.df <= {frequent} OR n_tokens = 1),
+                    x -> struct(x.token AS sig, true AS single)),
+          flatten(transform(
+            filter(transform(t, (x, i) -> struct(i AS i, x AS x)), p -> p.x.df > {frequent} AND n_tokens > 1),
+            p -> transform(slice(t, p.i + 2, size(t)),
+                           y -> struct(xxhash64(p.x.token, y.token) AS sig, false AS single)))))
+        """
     )
+    return ordered.select("record_id", "n_tokens", "needed", F.inline(sigs))
 
 
-def _size_fits(a: str, b: str, threshold: float) -> Column:
-    """Sets of too different size cannot reach the threshold."""
-    small = F.least(F.col(a), F.col(b))
-    return small >= F.greatest(F.col(a), F.col(b)) * threshold - 1e-9
-
+def similar_in_blocks(left: DataFrame, right: DataFrame, threshold: float, condition: Column) -> DataFrame:
+    """Distinct pairs sharing a key and enough signatures.
 
-def pairs_by_signature(left: DataFrame, right: DataFrame | None, threshold: float) -> DataFrame:
-    """Distinct (left_id, right_id) sharing a signature; self pairs once, low id first."""
-    a = left.select("sig", F.col("record_id").alias("left_id"), F.col("n_tokens").alias("n_left"))
-    b = (left if right is None else right).select(
-        "sig", F.col("record_id").alias("right_id"), F.col("n_tokens").alias("n_right")
+    Both sides have ``key`` and the columns of ``signatures``, the right side's
+    with an ``r_`` in front (apart from ``key``, ``sig`` and ``single``).
+    """
+    small, large = F.least("n_tokens", "r_n_tokens"), F.greatest("n_tokens", "r_n_tokens")
+    return (
+        left.join(right, ["key", "sig", "single"])
+        .where(condition & (small >= large * threshold - 1e-9))
+        .groupBy("record_id", "r_record_id")
+        .agg(
+            F.count_if("single").alias("common"),
+            F.bool_or(~F.col("single")).alias("frequent"),
+            F.first(F.least("needed", "r_needed")).alias("needed"),
+        )
+        .where("frequent OR common >= needed")
+        .select("record_id", "r_record_id")
     )
-    fits = _size_fits("n_left", "n_right", threshold)
-    if right is None:
-        fits = fits & (F.col("left_id") < F.col("right_id"))
-    return a.join(b, "sig").where(fits).select("left_id", "right_id").distinct()
 
 
-# --- comparing ------------------------------------------------------------------
+def as_right(signed: DataFrame) -> DataFrame:
+    return signed.withColumnsRenamed({c: f"r_{c}" for c in signed.columns if c not in ("key", "sig", "single")})
+
+
+def block_members(records: DataFrame) -> DataFrame:
+    """(record_id, key)."""
+    return records.where(F.size("tokens") > 0).select("record_id", F.explode("keys").alias("key"))
+
+
+def sign_members(members: DataFrame, records: DataFrame, threshold: float, frequent: int) -> DataFrame:
+    """Members of large blocks with their signatures."""
+    concerned = records.select("record_id", "tokens").join(members.select("record_id").distinct(), "record_id")
+    return members.join(signatures(concerned, threshold, frequent), "record_id")
+
+
+# --- comparing -------------------------------------------------------------------------
 
 
 def _side(records: DataFrame, prefix: str) -> DataFrame:
@@ -96,99 +202,91 @@ def _side(records: DataFrame, prefix: str) -> DataFrame:
     )
 
 
-def compare(pairs: DataFrame, left: DataFrame, right: DataFrame, fields: Sequence[FieldSpec], threshold: float) -> DataFrame:
+def compare(
+    pairs: DataFrame, left: DataFrame, right: DataFrame, fields: Sequence[FieldSpec], threshold: float
+) -> DataFrame:
     """Pairs that really reach the similarity, with features and the fixed score."""
     joined = pairs.join(_side(left, "left_"), "left_id").join(_side(right, "right_"), "right_id")
     near = joined.withColumn("similarity", jaccard(F.col("left_tokens"), F.col("right_tokens"))).where(
         F.col("similarity") >= threshold
     )
-    extra = [c for c in pairs.columns if c not in ("left_id", "right_id")]
-    features = near.withColumns(feature_columns(fields))
+    near = with_words(with_words(near, fields, "left_"), fields, "right_")
+    shared = F.size(F.array_intersect("left_keys", "right_keys")).alias("shared_keys")
     names = [n for f in fields for n in (f"sim_{f.name}", f"missing_{f.name}")]
-    return features.select(
-        "left_id", "right_id", *extra, F.round("similarity", 6).alias("similarity"), *names
-    ).withColumn("score", fixed_score(fields))
-
-
-def candidate_pairs(
-    left: DataFrame, fields: Sequence[FieldSpec], threshold: float, right: DataFrame | None = None,
-    frequent: int = FREQUENT,
-) -> DataFrame:
-    """All pairs of (prepared) records at least ``threshold`` similar, with scores."""
-    if right is None:
-        sigs = signatures(left.select("record_id", "tokens"), threshold, frequent)
-        pairs = pairs_by_signature(materialise(sigs, "signatures"), None, threshold)
-        return compare(pairs, left, left, fields, threshold)
-    # Both inputs share one token order; ids may repeat across them.
-    tagged = left.select(F.struct(F.lit(0).alias("side"), F.col("record_id").alias("id")).alias("record_id"), "tokens")
-    tagged = tagged.unionByName(
-        right.select(F.struct(F.lit(1).alias("side"), F.col("record_id").alias("id")).alias("record_id"), "tokens")
+    return (
+        near.withColumns(feature_columns(fields))
+        .select("left_id", "right_id", F.round("similarity", 6).alias("similarity"), shared, *names)
+        .withColumn("score", fixed_score(fields))
     )
-    sigs = materialise(signatures(tagged, threshold, frequent), "signatures")
-
-    def of(side: int) -> DataFrame:
-        return sigs.where(F.col("record_id.side") == side).withColumn("record_id", F.col("record_id.id"))
-
-    return compare(pairs_by_signature(of(0), of(1), threshold), left, right, fields, threshold)
-
 
-# --- blocking rules ---------------------------------------------------------------
-
-
-def rule_exact(column: str) -> Column:
-    return F.col(column).cast("string")
 
+def pairs_within(members: DataFrame) -> DataFrame:
+    """All pairs of each (small) block, once each, low id first."""
+    a = members.select("key", F.col("record_id").alias("left_id"))
+    b = members.select("key", F.col("record_id").alias("right_id"))
+    return a.join(b, "key").where("left_id < right_id").select("left_id", "right_id").distinct()
 
-def rule_first_chars(column: str, n: int) -> Column:
-    return F.substring(F.col(column), 1, n)
-
-
-def rule_first_token(column: str) -> Column:
-    return F.element_at(F.split(F.col(column), " "), 1)
-
-
-def rule_soundex(column: str) -> Column:
-    return F.soundex(rule_first_token(column))
-
-
-def rule_sorted_tokens(column: str) -> Column:
-    return F.concat_ws(" ", F.array_sort(words(F.col(column))))
-
-
-def rule_zip_and_name(zip_column: str, name_column: str, digits: int = 3, chars: int = 3) -> Column:
-    return F.concat_ws("|", F.substring(F.col(zip_column), 1, digits), F.substring(F.col(name_column), 1, chars))
 
+def split_blocks(members: DataFrame, limit: int) -> tuple[DataFrame, DataFrame]:
+    """Members of the blocks up to ``limit`` records and of the larger ones.
 
-def account_rules() -> dict[str, Column]:
-    """The rules for account records."""
-    return {
-        "name": rule_exact("name"),
-        "name_start": rule_first_chars("name", 5),
-        "name_first": rule_first_token("name"),
-        "name_sound": rule_soundex("name"),
-        "name_sorted": rule_sorted_tokens("name"),
-        "address": rule_exact("address"),
-        "zip_name": rule_zip_and_name("zip", "name"),
-    }
+    A block of one is neither, so most keys are gone before the join back.
+    """
+    sizes = members.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    sized = members.join(sizes, "key")
+    return sized.where(F.col("n") <= limit).drop("n"), sized.where(F.col("n") > limit).drop("n")
 
 
-def block_keys(df: DataFrame, record_id: str, rules: Mapping[str, Column]) -> DataFrame:
-    """(record_id, rule, key): one row per rule that yields a key."""
-    keys = F.array(*[F.struct(F.lit(n).alias("rule"), k.cast("string").alias("key")) for n, k in rules.items()])
-    return df.select(F.col(record_id).alias("record_id"), F.inline(keys)).where(~is_blank(F.col("key")))
+def candidate_pairs(
+    records: DataFrame, fields: Sequence[FieldSpec], threshold: float,
+    frequent: int = FREQUENT, limit: int = BLOCK_LIMIT,
+) -> DataFrame:
+    """All candidate pairs of one (prepared) dataset, with features and score."""
+    small, large = split_blocks(materialise(block_members(records), "members"), limit)
+    pairs = pairs_within(small)
+    large = materialise(large, "large_blocks")
+    if not large.isEmpty():
+        signed = materialise(sign_members(large, records, threshold, frequent), "signatures")
+        found = similar_in_blocks(signed, as_right(signed), threshold, F.col("record_id") < F.col("r_record_id"))
+        pairs = pairs.union(found).distinct()
+    return compare(pairs, records, records, fields, threshold)
+
+
+def candidate_links(
+    left: DataFrame, right: DataFrame, fields: Sequence[FieldSpec], threshold: float,
+    frequent: int = FREQUENT, limit: int = BLOCK_LIMIT,
+) -> DataFrame:
+    """All candidate pairs across two (prepared) datasets, with features and score."""
+    a, b = block_members(left), block_members(right)
+    sizes = (
+        a.groupBy("key").agg(F.count(F.lit(1)).alias("n_left"))
+        .join(b.groupBy("key").agg(F.count(F.lit(1)).alias("n_right")), "key")
+        .select("key", (F.col("n_left") * F.col("n_right") > limit * limit).alias("large"))
+    )
+    sizes = materialise(sizes, "block_sizes")
+    direct = sizes.where(~F.col("large")).select("key")
+    pairs = (
+        a.join(direct, "key").withColumnRenamed("record_id", "left_id")
+        .join(b.withColumnRenamed("record_id", "right_id"), "key")
+        .select("left_id", "right_id").distinct()
+    )
+    large = sizes.where("large").select("key")
+    if not large.isEmpty():
+        # Both inputs share one token order; ids may repeat across them.
+        def tagged(df: DataFrame, side: int) -> DataFrame:
+            return df.withColumn("record_id", F.struct(F.lit(side).alias("side"), F.col("record_id").alias("id")))
 
+        members = tagged(a, 0).union(tagged(b, 1)).join(large, "key").select("record_id", "key")
+        both = tagged(left.select("record_id", "tokens"), 0).union(tagged(right.select("record_id", "tokens"), 1))
+        signed = materialise(sign_members(materialise(members, "members"), both, threshold, frequent), "signatures")
+        found = similar_in_blocks(
+            signed.where("record_id.side = 0"), as_right(signed.where("record_id.side = 1")), threshold, F.lit(True)
+        ).select(F.col("record_id.id").alias("left_id"), F.col("r_record_id.id").alias("right_id"))
+        pairs = pairs.union(found).distinct()
+    return compare(pairs, left, right, fields, threshold)
 
-def shared_rules(pairs: DataFrame, keys: DataFrame) -> DataFrame:
-    """Pairs that agree on at least one rule's key, with the number of such rules.
 
-    Joins on the pairs, so a key many records share costs nothing extra.
-    """
-    per_record = keys.groupBy("record_id").agg(F.collect_list(F.struct("rule", "key")).alias("k"))
-    joined = pairs.join(per_record.select(F.col("record_id").alias("left_id"), F.col("k").alias("lk")), "left_id").join(
-        per_record.select(F.col("record_id").alias("right_id"), F.col("k").alias("rk")), "right_id"
-    )
-    shared = F.size(F.array_intersect("lk", "rk"))
-    return joined.withColumn("n_rules", shared).where("n_rules > 0").drop("lk", "rk")
+# --- choosing rules ---------------------------------------------------------------------
 
 
 def rule_coverage(labels: DataFrame, keys: DataFrame) -> DataFrame:
@@ -258,32 +356,32 @@ def select_rules(labels: DataFrame, keys: DataFrame, recall: float = S.TRAINING_
     return chosen
 
 
-# --- approximate blocking for long texts --------------------------------------------
+# --- similarity without rules -----------------------------------------------------------
+
+
+def minhash_rule(tokens: Column, bands: int = 16, rows: int = 4) -> Column:
+    """Band keys of a MinHash signature of a token array, as an array of hashes.
+
+    Sets of similarity ``s`` share a key with probability
+    ``1 - (1 - s**rows)**bands``.
+    """
+
+    def lowest_hash(seed: int) -> Column:
+        return F.array_min(F.transform(tokens, lambda t: F.xxhash64(t, F.lit(seed))))
+
+    lowest = [lowest_hash(i) for i in range(bands * rows)]
+    keys = [F.xxhash64(F.lit(b), *lowest[b * rows : (b + 1) * rows]) for b in range(bands)]
+    return F.when(F.size(tokens) > 0, F.array(*keys)).otherwise(F.array().cast("array<bigint>"))
 
 
 def minhash_pairs(
-    records: DataFrame, max_distance: float, bands: int = 16, rows: int = 4
+    records: DataFrame, fields: Sequence[FieldSpec], max_distance: float, bands: int = 16, rows: int = 4
 ) -> DataFrame:
-    """Pairs of prepared records within a Jaccard distance, found by MinHash bands.
+    """Pairs of prepared records within a Jaccard distance (below one half).
 
-    Approximate: a pair of similarity ``s`` is found with probability
-    ``1 - (1 - s**rows)**bands``; every pair returned is checked. Signatures are
-    computed where the record is, and only the band keys are shuffled.
+    MinHash bands take the place of the rules' keys, so finding a pair is a
+    matter of probability; every pair returned is checked.
     """
-    hashes = [
-        F.array_min(F.transform("tokens", lambda t, i=i: F.xxhash64(t, F.lit(i)))) for i in range(bands * rows)
-    ]
-    band_keys = F.array(
-        *[F.xxhash64(F.lit(b), *hashes[b * rows : (b + 1) * rows]) for b in range(bands)]
-    )
-    banded = records.where(F.size("tokens") > 0).select(
-        F.explode(band_keys).alias("sig"), "record_id", F.size("tokens").alias("n_tokens")
-    )
-    threshold = 1 - max_distance
-    pairs = pairs_by_signature(materialise(banded, "bands"), None, threshold)
-    tokens = records.select("record_id", "tokens")
-    joined = pairs.join(_side(tokens, "left_"), "left_id").join(_side(tokens, "right_"), "right_id")
-    near = joined.withColumn("distance", 1 - jaccard(F.col("left_tokens"), F.col("right_tokens")))
-    return near.where(F.col("distance") <= max_distance + 1e-9).select(
-        "left_id", "right_id", F.round("distance", 6).alias("distance")
-    )
+    banded = records.withColumn("keys", minhash_rule(F.col("tokens"), bands, rows))
+    near = candidate_pairs(materialise(banded, "banded"), fields, 1 - max_distance)
+    return near.select("left_id", "right_id", F.round(1 - F.col("similarity"), 6).alias("distance"))

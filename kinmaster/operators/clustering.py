@@ -8,15 +8,23 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from kinmaster import schema as S
-from kinmaster.operators.blocking import FREQUENT, compare, pairs_by_signature, signatures
+from kinmaster.operators.blocking import (
+    BLOCK_LIMIT,
+    FREQUENT,
+    as_right,
+    block_members,
+    compare,
+    pairs_within,
+    sign_members,
+    similar_in_blocks,
+    split_blocks,
+)
 from kinmaster.operators.numbering import dense_number
 from kinmaster.operators.records import collapse_copies
 from kinmaster.operators.reshape import to_front
 from kinmaster.schema import FieldSpec
 from kinmaster.session import materialise
 
-# Blocks up to this size are compared pair by pair, larger ones around a hub.
-BLOCK_LIMIT = 100
 MAX_ROUNDS = 100
 
 
@@ -64,65 +72,58 @@ def _small_star(links: DataFrame) -> DataFrame:
 
 def spanning_links(
     records: DataFrame, fields: Sequence[FieldSpec], threshold: float, score: float,
-    frequent: int = FREQUENT, block_limit: int = BLOCK_LIMIT,
+    frequent: int = FREQUENT, limit: int = BLOCK_LIMIT,
 ) -> DataFrame:
     """Scored links with the same components as all matching pairs.
 
-    A match has token similarity of at least ``threshold`` and a score of at
-    least ``score``. Small blocks are compared pair by pair. In a large block
-    every record is compared with the block's first record only; where that
-    leaves the block in several components, the records outside its main one
-    are compared with the rest. A match is thus either inside one component
-    already or is looked at, so no connection is lost, while a family of near
-    copies costs one comparison per record.
+    A match is a candidate pair with a score of at least ``score``. Small blocks
+    are compared pair by pair. In a large block every record is compared with
+    the block's first record only; where that leaves the block in several
+    components, the records outside its main one are compared with those they
+    can be similar to. A match is thus either inside one component already or
+    is looked at, so no connection is lost, while a family of near copies costs
+    one comparison per record.
     """
-    sigs = materialise(signatures(records.select("record_id", "tokens"), threshold, frequent), "signatures")
-    blocks = sigs.groupBy("sig").agg(F.count(F.lit(1)).alias("n"), F.min("record_id").alias("hub")).where("n > 1")
-    blocks = materialise(blocks, "blocks")
-    small = sigs.join(blocks.where(F.col("n") <= block_limit).select("sig"), "sig", "left_semi")
-    pairs = pairs_by_signature(small, None, threshold)
-    large = blocks.where(F.col("n") > block_limit)
+    small, large = split_blocks(materialise(block_members(records), "members"), limit)
+    pairs = pairs_within(small)
+    large = materialise(large, "large_blocks")
     has_large = not large.isEmpty()
     if has_large:
-        members = materialise(sigs.join(large.select("sig", "hub"), "sig"), "members")
-        star = members.where("record_id <> hub").select(
-            F.col("hub").alias("left_id"), F.col("record_id").alias("right_id")
-        )
-        pairs = pairs.union(star).distinct()
+        hubs = large.groupBy("key").agg(F.min("record_id").alias("left_id"))
+        star = large.join(hubs, "key").where("left_id <> record_id")
+        pairs = pairs.union(star.select("left_id", F.col("record_id").alias("right_id"))).distinct()
 
     def match(candidates: DataFrame) -> DataFrame:
-        return compare(candidates, records, records, fields, threshold).where(F.col("score") >= score).select(
-            "left_id", "right_id", "similarity", "score"
-        )
+        scored = compare(candidates, records, records, fields, threshold).where(F.col("score") >= score)
+        return materialise(scored.select("left_id", "right_id", "similarity", "score"), "matches")
 
-    links = materialise(match(pairs), "matches")
+    links = match(pairs)
     if not has_large:
         return links
-    found = connected_components(members.select("record_id").distinct(), links)
-    placed = materialise(members.join(found, "record_id"), "placed")
+    found = connected_components(large.select("record_id").distinct(), links)
+    placed = materialise(large.join(found, "record_id"), "placed")
     main = (
-        placed.groupBy("sig", "component")
+        placed.groupBy("key", "component")
         .agg(F.count(F.lit(1)).alias("n"))
-        .groupBy("sig")
+        .groupBy("key")
         .agg(F.max_by("component", F.struct("n", "component")).alias("main"), F.count(F.lit(1)).alias("parts"))
         .where("parts > 1")
-        .select("sig", "main")
-    )
-    split = placed.join(main, "sig")
-    outside = split.where("component <> main").select(
-        "sig", F.col("record_id").alias("a"), F.col("component").alias("ca"), F.col("n_tokens").alias("na")
+        .select("key", "main")
     )
-    rest = split.select("sig", F.col("record_id").alias("b"), F.col("component").alias("cb"), F.col("n_tokens").alias("nb"))
-    fits = F.least("na", "nb") >= F.greatest("na", "nb") * threshold - 1e-9
-    more = outside.join(rest, "sig").where((F.col("ca") != F.col("cb")) & fits).select(
-        F.least("a", "b").alias("left_id"), F.greatest("a", "b").alias("right_id")
-    )
-    return links.unionByName(materialise(match(more.distinct()), "matches"))
+    split = materialise(placed.join(main, "key"), "split_blocks")
+    if split.isEmpty():
+        return links
+    signed = materialise(sign_members(split, records, threshold, frequent), "signatures")
+    apart = F.col("component") != F.col("r_component")
+    more = similar_in_blocks(signed.where("component <> main"), as_right(signed), threshold, apart)
+    lower, higher = F.least("record_id", "r_record_id"), F.greatest("record_id", "r_record_id")
+    more = more.select(lower.alias("left_id"), higher.alias("right_id")).distinct()
+    return links.unionByName(match(more))
 
 
 def cluster_records(
     records: DataFrame, fields: Sequence[FieldSpec], threshold: float, score: float = S.DEDUPE_THRESHOLD,
-    frequent: int = FREQUENT, block_limit: int = BLOCK_LIMIT,
+    frequent: int = FREQUENT, limit: int = BLOCK_LIMIT,
 ) -> tuple[DataFrame, DataFrame, DataFrame]:
     """(clusters, representatives, copies) of prepared records.
 
@@ -130,7 +131,7 @@ def cluster_records(
     ``component``; a record that matches nothing is its own cluster.
     """
     reps, copies = collapse_copies(records, fields)
-    links = spanning_links(reps, fields, threshold, score, frequent, block_limit)
+    links = spanning_links(reps, fields, threshold, score, frequent, limit)
     components = connected_components(reps, links)
     linked = links.select(F.explode(F.array("left_id", "right_id")).alias("rep_id")).distinct()
     # Copies stay together if they match each other or a common other record.

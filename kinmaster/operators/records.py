@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -21,8 +21,20 @@ def _present(column: Column) -> Column:
     return ~is_blank(column)
 
 
-def prepare_records(df: DataFrame, record_id: str, fields: Sequence[FieldSpec], keep: Sequence[str] = ()) -> DataFrame:
-    """One row per record: id, compared values, blocking tokens, self score.
+def hashed_keys(rules: Mapping[str, Column]) -> Column:
+    """All rules' keys of a record as distinct hashes."""
+
+    def hashed_rule(rule: str, keys: Column) -> Column:
+        return F.transform(F.filter(keys, lambda k: ~is_blank(k)), lambda k: F.xxhash64(F.lit(rule), k))
+
+    hashed = [hashed_rule(rule, keys) for rule, keys in rules.items()]
+    return F.array_distinct(F.concat(*[F.coalesce(h, F.array().cast("array<bigint>")) for h in hashed]))
+
+
+def prepare_records(
+    df: DataFrame, record_id: str, fields: Sequence[FieldSpec], rules: Mapping[str, Column], keep: Sequence[str] = ()
+) -> DataFrame:
+    """One row per record: id, compared values, tokens, blocking keys, self score.
 
     Values of ``text`` fields are reduced to hashed words (the whole value is
     read); the other fields keep their cleaned value. The result is written
@@ -32,11 +44,21 @@ def prepare_records(df: DataFrame, record_id: str, fields: Sequence[FieldSpec],
     columns = [F.col(record_id).alias("record_id"), *[F.col(c) for c in keep]]
     columns += [F.col(f.name) for f in fields if f.kind != "text"]
     columns += [hashed_words(F.col(f.name)).alias(_word_column(f)) for f in texts]
+    columns += [hashed_keys(rules).alias("keys")]
     sets = [F.col(_word_column(f)) for f in texts]
     sets += [hashed_grams(F.col(f.name), f.name) for f in fields if f.kind == "string"]
     tokens = sets[0] if len(sets) == 1 else F.array_distinct(F.concat(*sets))
-    prepared = df.select(*columns).withColumn("tokens", F.array_sort(tokens))
-    return materialise(prepared.withColumn("self_score", self_score(fields)), "records")
+    prepared = df.select(*columns).withColumn("tokens", tokens).withColumn("self_score", self_score(fields))
+    if len(sets) == 1 and texts:
+        # The words of a lone text are the tokens: keep and shuffle them once.
+        prepared = prepared.drop(_word_column(texts[0]))
+    return materialise(prepared, "records")
+
+
+def with_words(df: DataFrame, fields: Sequence[FieldSpec], side: str = "") -> DataFrame:
+    """The words of a lone text under their own name again."""
+    names = [_word_column(f) for f in fields if f.kind == "text"]
+    return df.withColumns({side + n: F.col(side + "tokens") for n in names if side + n not in df.columns})
 
 
 def _has_value(field: FieldSpec, side: str = "") -> Column:
@@ -67,9 +89,11 @@ def collapse_copies(records: DataFrame, fields: Sequence[FieldSpec]) -> tuple[Da
     """
     compared = [_word_column(f) if f.kind == "text" else f.name for f in fields]
     digest = F.when(
-        F.size("tokens") > 0, F.sha2(F.to_json(F.struct(*compared)), 256)
+        (F.size("tokens") > 0) & (F.size("keys") > 0),
+        F.sha2(F.to_json(F.struct(*compared, F.sort_array("keys").alias("keys"))), 256),
     ).otherwise(F.concat(F.lit("alone-"), F.col("record_id").cast("string")))
-    digests = materialise(records.select("record_id", digest.alias("digest")), "digests")
+    digests = with_words(records, fields).select("record_id", digest.alias("digest"))
+    digests = materialise(digests, "digests")
     groups = digests.groupBy("digest").agg(
         F.min("record_id").alias("rep_id"), F.count(F.lit(1)).alias("n_copies")
     )

@@ -2,14 +2,15 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from kinmaster import schema as S
 from kinmaster.functions.text import normalise_link_text, normalise_text, normalise_zip
 from kinmaster.operators import clustering, identity, intake, linkage, quality, review
+from kinmaster.operators.blocking import account_rules
 from kinmaster.operators.records import prepare_records
 from kinmaster.operators.reshape import rename
 from kinmaster.schema import ACCOUNT_FIELDS, FieldSpec
@@ -41,10 +42,11 @@ def clean_for_linkage(df: DataFrame, fields: Sequence[FieldSpec] = ACCOUNT_FIELD
 
 def dedupe(
     accounts: DataFrame, record_id: str = "record_number", fields: Sequence[FieldSpec] = ACCOUNT_FIELDS,
-    similarity: float = BLOCK_SIMILARITY, threshold: float = S.DEDUPE_THRESHOLD,
+    rules: Mapping[str, Column] | None = None, similarity: float = BLOCK_SIMILARITY,
+    threshold: float = S.DEDUPE_THRESHOLD,
 ) -> DataFrame:
     """Accounts with ``cluster_id`` and ``confidence_score`` in front."""
-    records = prepare_records(clean_for_dedupe(accounts, fields), record_id, fields)
+    records = prepare_records(clean_for_dedupe(accounts, fields), record_id, fields, rules or account_rules())
     clusters, reps, copies = clustering.cluster_records(records, fields, similarity, threshold)
     clusters = materialise(clusters, "clusters")
     confidence = clustering.representative_confidence(clusters, reps, copies, fields)
@@ -53,8 +55,8 @@ def dedupe(
 
 def link(
     left: DataFrame, right: DataFrame, left_id: str, right_id: str, fields: Sequence[FieldSpec] = ACCOUNT_FIELDS,
-    similarity: float = BLOCK_SIMILARITY, threshold: float = S.LINK_THRESHOLD, quality_gate: bool = False,
-    comma: str = " ",
+    rules: Mapping[str, Column] | None = None, similarity: float = BLOCK_SIMILARITY,
+    threshold: float = S.LINK_THRESHOLD, quality_gate: bool = False, comma: str = " ",
 ) -> tuple[DataFrame, DataFrame]:
     """(all rows of both inputs with their links, the linked pairs side by side).
 
@@ -64,8 +66,9 @@ def link(
     usable_right = quality.exclude_type(right)
     if quality_gate:
         usable_right, _ = quality.split_quality(usable_right)
-    a = prepare_records(clean_for_linkage(quality.exclude_type(left), fields, comma), left_id, fields)
-    b = prepare_records(clean_for_linkage(usable_right, fields, comma), right_id, fields)
+    rules = rules or account_rules()
+    a = prepare_records(clean_for_linkage(quality.exclude_type(left), fields, comma), left_id, fields, rules)
+    b = prepare_records(clean_for_linkage(usable_right, fields, comma), right_id, fields, rules)
     links = materialise(linkage.link_records(a, b, fields, similarity, threshold), "links")
     linked = materialise(linkage.link_output(left, right, links, left_id, right_id), "linked")
     return linked, linkage.pair_horizontal(linked)

@@ -292,32 +292,46 @@ _T = roles.DOCUMENT_SIMILARITY
 _SCORE = """CASE WHEN both_lang THEN round((sim_text * 0.8 + sim_lang * 0.2) / (0.8 + 0.2), 6)
      ELSE round(sim_text * 0.8 / 0.8, 6) END"""
 
-# Every document with its distinct words; ``reps`` are those that differ in words or language.
+# Every document with its words and blocking keys; ``copies`` are alike in all of it.
 DOCS = f"""docs AS MATERIALIZED (
-  SELECT doc_id, lang_or_null AS lang, source, n_chars, norm,
+  SELECT doc_id, lang_or_null AS lang, source, n_chars, norm, string_split(norm, ' ') AS ws,
          list_sort(list_distinct(list_filter(string_split(norm, ' '), lambda w: w <> ''))) AS toks
   FROM (SELECT doc_id, CASE WHEN lang <> 'es' THEN lang END AS lang_or_null, source, n_chars,
                {_normalise_link('text')} AS norm FROM documents)),
+word_list AS MATERIALIZED (
+  SELECT doc_id, unnest(ws) AS w, generate_subscripts(ws, 1) AS i FROM docs WHERE norm <> ''),
+phrases AS MATERIALIZED (
+  SELECT DISTINCT doc_id, md5(concat_ws(' ', w, w2, w3)) AS p FROM (
+    SELECT *, lead(w) OVER word_order AS w2, lead(w, 2) OVER word_order AS w3 FROM word_list
+    WINDOW word_order AS (PARTITION BY doc_id ORDER BY i))
+  WHERE w3 IS NOT NULL OR i = 1),
+doc_keys AS MATERIALIZED (
+  SELECT doc_id, 'phrases' AS rule, p AS key FROM phrases
+  QUALIFY row_number() OVER (PARTITION BY doc_id ORDER BY p) <= 8
+  UNION ALL SELECT doc_id, 'words', md5(array_to_string(toks, ' ')) FROM docs),
+alike AS MATERIALIZED (SELECT doc_id, list_sort(list(rule || key)) AS ks FROM doc_keys GROUP BY doc_id),
 copies AS MATERIALIZED (
-  SELECT doc_id, lang, toks, CASE WHEN len(toks) = 0 THEN doc_id
-         ELSE min(doc_id) OVER (PARTITION BY toks, lang) END AS rep_id FROM docs),
-reps AS MATERIALIZED (SELECT doc_id AS id, lang, toks FROM copies WHERE doc_id = rep_id)"""
+  SELECT doc_id, lang, toks, ks, CASE WHEN len(toks) = 0 THEN doc_id
+         ELSE min(doc_id) OVER (PARTITION BY toks, lang, ks) END AS rep_id FROM docs JOIN alike USING (doc_id)),
+reps AS MATERIALIZED (SELECT doc_id AS id, lang, toks, ks FROM copies WHERE doc_id = rep_id)"""
 
 
 def _pairs(left: str, right: str, on: str) -> str:
-    """Scored pairs by brute force over shared words."""
-    return f"""lw AS MATERIALIZED (SELECT id, lang, len(toks) AS n, unnest(toks) AS w FROM {left}),
-rw AS MATERIALIZED (SELECT id, lang, len(toks) AS n, unnest(toks) AS w FROM {right}),
+    """Scored pairs sharing a key, by brute force over shared words."""
+    return f"""lw AS MATERIALIZED (SELECT id, len(toks) AS n, unnest(toks) AS w FROM {left}),
+rw AS MATERIALIZED (SELECT id, len(toks) AS n, unnest(toks) AS w FROM {right}),
+near AS MATERIALIZED (
+  SELECT a.id AS left_id, b.id AS right_id, count(*) / (any_value(a.n) + any_value(b.n) - count(*)) AS j
+  FROM lw a JOIN rw b ON a.w = b.w AND {on} GROUP BY 1, 2 HAVING j >= {_T}),
 shared AS MATERIALIZED (
-  SELECT a.id AS left_id, b.id AS right_id, any_value(a.lang) AS la, any_value(b.lang) AS lb,
-         count(*) / (any_value(a.n) + any_value(b.n) - count(*)) AS j
-  FROM lw a JOIN rw b ON a.w = b.w AND {on} GROUP BY 1, 2),
+  SELECT left_id, right_id, j, a.lang AS la, b.lang AS lb, len(list_intersect(a.ks, b.ks))::INT AS shared_keys
+  FROM near JOIN {left} a ON a.id = left_id JOIN {right} b ON b.id = right_id),
 features AS MATERIALIZED (
-  SELECT left_id, right_id, round(j, 6) AS similarity, round(j, 6) AS sim_text, 0 AS missing_text,
+  SELECT left_id, right_id, shared_keys, round(j, 6) AS similarity, round(j, 6) AS sim_text, 0 AS missing_text,
          (la IS NOT NULL AND lb IS NOT NULL) AS both_lang,
          CASE WHEN la = lb THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END AS sim_lang,
          CASE WHEN la IS NOT NULL AND lb IS NOT NULL THEN 0 ELSE 1 END AS missing_lang
-  FROM shared WHERE j >= {_T}),
+  FROM shared WHERE shared_keys > 0),
 scored AS MATERIALIZED (SELECT * EXCLUDE (both_lang), {_SCORE} AS score FROM features)"""
 
 
@@ -342,8 +356,8 @@ _SCORE_OF = """CASE WHEN a.rep_id = b.rep_id THEN 1.0
 )
 
 LEFT_RIGHT = f"""{DOCS},
-left_docs AS (SELECT c.doc_id AS id, c.lang, c.toks FROM copies c JOIN docs USING (doc_id) WHERE length(source) = 4),
-right_docs AS (SELECT c.doc_id AS id, c.lang, c.toks FROM copies c JOIN docs USING (doc_id) WHERE length(source) <> 4),
+left_docs AS (SELECT c.doc_id AS id, c.lang, c.toks, c.ks FROM copies c JOIN docs USING (doc_id) WHERE length(source) = 4),
+right_docs AS (SELECT c.doc_id AS id, c.lang, c.toks, c.ks FROM copies c JOIN docs USING (doc_id) WHERE length(source) <> 4),
 {_pairs('left_docs', 'right_docs', 'TRUE')},
 best AS MATERIALIZED (
   SELECT left_id, right_id, score FROM scored WHERE score >= {LINK_THRESHOLD}
@@ -361,18 +375,14 @@ linked AS MATERIALIZED (
 
 _RULES = """rule_keys AS MATERIALIZED (
   SELECT doc_id, unnest([
-    {'rule': 'first_word', 'key': string_split(norm, ' ')[1]},
+    {'rule': 'first_word', 'key': ws[1]},
     {'rule': 'length', 'key': n_chars::VARCHAR},
-    {'rule': 'lang', 'key': lang},
-    {'rule': 'words', 'key': sha256(array_to_string(toks, ' '))}], recursive := true)
-  FROM docs),
+    {'rule': 'lang', 'key': lang}], recursive := true)
+  FROM docs UNION ALL SELECT * FROM doc_keys),
 keys AS MATERIALIZED (SELECT * FROM rule_keys WHERE trim(coalesce(key, '')) <> '')"""
 
 ORACLE |= {
-    "block_pairs": f"""WITH {SELF_PAIRS}, {_RULES}
-SELECT left_id, right_id, similarity, count(*)::INT AS n_rules
-FROM scored JOIN keys a ON a.doc_id = left_id JOIN keys b ON b.doc_id = right_id AND a.rule = b.rule AND a.key = b.key
-GROUP BY ALL""",
+    "block_pairs": f"WITH {SELF_PAIRS} SELECT left_id, right_id, similarity, shared_keys FROM scored",
     "rule_coverage": f"""WITH {DOCS}, {_RULES},
 matches AS (SELECT rep_id AS left_id, doc_id AS right_id FROM copies WHERE doc_id <> rep_id),
 sizes AS (SELECT rule, key, count(*) AS n FROM keys GROUP BY ALL),

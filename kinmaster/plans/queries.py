@@ -362,37 +362,35 @@ def entry_number(spark, sf_dir):
 
 
 def _records(spark, sf_dir, keep=()):
-    return records.prepare_records(roles.documents(spark, sf_dir), "doc_id", roles.DOCUMENT_FIELDS, keep)
+    return records.prepare_records(
+        roles.documents(spark, sf_dir), "doc_id", roles.DOCUMENT_FIELDS, roles.document_rules(), keep
+    )
 
 
 def _scored(spark, sf_dir):
-    """Scored pairs of documents that differ in a compared field."""
+    """Scored pairs of documents that differ in something compared."""
     fields = roles.DOCUMENT_FIELDS
     reps, copies = records.collapse_copies(_records(spark, sf_dir), fields)
     return blocking.candidate_pairs(reps, fields, roles.DOCUMENT_SIMILARITY), reps, copies
 
 
-def _document_rules():
-    return {
-        "first_word": blocking.rule_first_token("text"),
-        "length": blocking.rule_exact("n_chars"),
-        "lang": blocking.rule_exact("lang"),
-        "words": F.sha2(blocking.rule_sorted_tokens("text"), 256),
-    }
-
-
 @query
 def block_pairs(spark, sf_dir):
-    pairs, _, _ = _scored(spark, sf_dir)
-    keys = blocking.block_keys(roles.documents(spark, sf_dir), "doc_id", _document_rules())
-    return blocking.shared_rules(pairs.select("left_id", "right_id", "similarity"), keys)
+    return _scored(spark, sf_dir)[0].select("left_id", "right_id", "similarity", "shared_keys")
 
 
 @query
 def rule_coverage(spark, sf_dir):
+    """How the rules, and the plain columns as rules, cover the copies found."""
     _, copies = records.collapse_copies(_records(spark, sf_dir), roles.DOCUMENT_FIELDS)
     labels = copies.where("record_id <> rep_id").selectExpr("rep_id AS left_id", "record_id AS right_id", "1 AS is_match")
-    keys = blocking.block_keys(roles.documents(spark, sf_dir), "doc_id", _document_rules())
+    rules = {
+        **roles.document_rules(),
+        "first_word": blocking.rule_first_token("text"),
+        "length": blocking.rule_exact("n_chars"),
+        "lang": blocking.rule_exact("lang"),
+    }
+    keys = blocking.block_keys(roles.documents(spark, sf_dir), "doc_id", rules)
     return blocking.rule_coverage(labels, materialise(keys, "keys"))
 
 
@@ -414,7 +412,7 @@ def uncertain_pairs(spark, sf_dir):
 @query
 def minhash_pairs(spark, sf_dir):
     reps, _ = records.collapse_copies(_records(spark, sf_dir), roles.DOCUMENT_FIELDS)
-    return blocking.minhash_pairs(reps, max_distance=0.3)
+    return blocking.minhash_pairs(reps, roles.DOCUMENT_FIELDS, max_distance=0.3)
 
 
 @query

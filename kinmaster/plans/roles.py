@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from kinmaster.functions.text import normalise_link_text
+from kinmaster.operators import blocking
 from kinmaster.schema import FieldSpec
 
 SPLIT_VALUE = "1-URGENT"
@@ -23,6 +24,14 @@ DOCUMENT_FIELDS = (
 DOCUMENT_SIMILARITY = 0.6
 
 
+def document_rules() -> dict[str, Column]:
+    """Documents meet on common phrases, or on the same words in any order."""
+    return {
+        "phrases": blocking.rule_phrases("text"),
+        "words": F.transform(blocking.rule_sorted_tokens("text"), lambda w: F.md5(w)),
+    }
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
