@@ -157,16 +157,20 @@ def signatures(tokens: DataFrame, threshold: float, frequent: int = FREQUENT) ->
     return ordered.select("record_id", "n_tokens", "needed", F.inline(sigs))
 
 
+def _size_fits(a: str, b: str, threshold: float) -> Column:
+    """Sets of too different size cannot reach the threshold."""
+    return F.least(a, b) >= F.greatest(a, b) * threshold - 1e-9
+
+
 def similar_in_blocks(left: DataFrame, right: DataFrame, threshold: float, condition: Column) -> DataFrame:
     """Distinct pairs sharing a key and enough signatures.
 
     Both sides have ``key`` and the columns of ``signatures``, the right side's
     with an ``r_`` in front (apart from ``key``, ``sig`` and ``single``).
     """
-    small, large = F.least("n_tokens", "r_n_tokens"), F.greatest("n_tokens", "r_n_tokens")
     return (
         left.join(right, ["key", "sig", "single"])
-        .where(condition & (small >= large * threshold - 1e-9))
+        .where(condition & _size_fits("n_tokens", "r_n_tokens", threshold))
         .groupBy("record_id", "r_record_id")
         .agg(
             F.count_if("single").alias("common"),
@@ -183,14 +187,15 @@ def as_right(signed: DataFrame) -> DataFrame:
 
 
 def block_members(records: DataFrame) -> DataFrame:
-    """(record_id, key)."""
-    return records.where(F.size("tokens") > 0).select("record_id", F.explode("keys").alias("key"))
+    """(record_id, n_tokens, key)."""
+    filled = records.where(F.size("tokens") > 0)
+    return filled.select("record_id", F.size("tokens").alias("n_tokens"), F.explode("keys").alias("key"))
 
 
 def sign_members(members: DataFrame, records: DataFrame, threshold: float, frequent: int) -> DataFrame:
     """Members of large blocks with their signatures."""
     concerned = records.select("record_id", "tokens").join(members.select("record_id").distinct(), "record_id")
-    return members.join(signatures(concerned, threshold, frequent), "record_id")
+    return members.drop("n_tokens").join(signatures(concerned, threshold, frequent), "record_id")
 
 
 # --- comparing -------------------------------------------------------------------------
@@ -220,11 +225,12 @@ def compare(
     )
 
 
-def pairs_within(members: DataFrame) -> DataFrame:
-    """All pairs of each (small) block, once each, low id first."""
-    a = members.select("key", F.col("record_id").alias("left_id"))
-    b = members.select("key", F.col("record_id").alias("right_id"))
-    return a.join(b, "key").where("left_id < right_id").select("left_id", "right_id").distinct()
+def pairs_within(members: DataFrame, threshold: float) -> DataFrame:
+    """All pairs of each (small) block that fit in size, once each, low id first."""
+    a = members.select("key", F.col("record_id").alias("left_id"), F.col("n_tokens").alias("n_left"))
+    b = members.select("key", F.col("record_id").alias("right_id"), F.col("n_tokens").alias("n_right"))
+    fits = (F.col("left_id") < F.col("right_id")) & _size_fits("n_left", "n_right", threshold)
+    return a.join(b, "key").where(fits).select("left_id", "right_id").distinct()
 
 
 def split_blocks(members: DataFrame, limit: int) -> tuple[DataFrame, DataFrame]:
@@ -243,7 +249,7 @@ def candidate_pairs(
 ) -> DataFrame:
     """All candidate pairs of one (prepared) dataset, with features and score."""
     small, large = split_blocks(materialise(block_members(records), "members"), limit)
-    pairs = pairs_within(small)
+    pairs = pairs_within(small, threshold)
     large = materialise(large, "large_blocks")
     if not large.isEmpty():
         signed = materialise(sign_members(large, records, threshold, frequent), "signatures")
@@ -266,8 +272,9 @@ def candidate_links(
     sizes = materialise(sizes, "block_sizes")
     direct = sizes.where(~F.col("large")).select("key")
     pairs = (
-        a.join(direct, "key").withColumnRenamed("record_id", "left_id")
-        .join(b.withColumnRenamed("record_id", "right_id"), "key")
+        a.join(direct, "key").withColumnsRenamed({"record_id": "left_id", "n_tokens": "n_left"})
+        .join(b.withColumnsRenamed({"record_id": "right_id", "n_tokens": "n_right"}), "key")
+        .where(_size_fits("n_left", "n_right", threshold))
         .select("left_id", "right_id").distinct()
     )
     large = sizes.where("large").select("key")
@@ -276,7 +283,7 @@ def candidate_links(
         def tagged(df: DataFrame, side: int) -> DataFrame:
             return df.withColumn("record_id", F.struct(F.lit(side).alias("side"), F.col("record_id").alias("id")))
 
-        members = tagged(a, 0).union(tagged(b, 1)).join(large, "key").select("record_id", "key")
+        members = tagged(a, 0).union(tagged(b, 1)).join(large, "key").select("record_id", "n_tokens", "key")
         both = tagged(left.select("record_id", "tokens"), 0).union(tagged(right.select("record_id", "tokens"), 1))
         signed = materialise(sign_members(materialise(members, "members"), both, threshold, frequent), "signatures")
         found = similar_in_blocks(

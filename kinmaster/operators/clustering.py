@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from kinmaster import schema as S
@@ -37,18 +37,22 @@ def connected_components(nodes: DataFrame, edges: DataFrame) -> DataFrame:
     hub is never gathered in one task. Every round is written, which keeps the
     plan short and lets lost tasks be redone.
     """
+    def stored(df: DataFrame) -> tuple[DataFrame, tuple]:
+        """The written edges; their number and a sum of hashes tell them apart."""
+        seen = Observation()
+        total = F.sum(F.xxhash64("u", "v").cast("decimal(38,0)")).alias("total")
+        df = materialise(df.observe(seen, F.count(F.lit(1)).alias("n"), total), "links")
+        return df, (seen.get["n"], seen.get["total"])
+
     links = edges.select(F.col("left_id").alias("u"), F.col("right_id").alias("v")).where("u <> v")
-    links = materialise(links.distinct(), "links")
-    state = None
+    links, state = stored(links.distinct())
     for _ in range(MAX_ROUNDS):
-        if links.isEmpty():
+        if state[0] == 0:
             break
-        links = materialise(_small_star(_large_star(links)), "links")
-        # Sums of hashes identify the edge set without collecting it.
-        now = links.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
-        if now == state:
+        before = state
+        links, state = stored(_small_star(_large_star(links)))
+        if state == before:
             break
-        state = now
     else:
         raise RuntimeError(f"components not stable after {MAX_ROUNDS} rounds")
     # At the fixed point every node points at the lowest id of its component.
@@ -85,7 +89,7 @@ def spanning_links(
     one comparison per record.
     """
     small, large = split_blocks(materialise(block_members(records), "members"), limit)
-    pairs = pairs_within(small)
+    pairs = pairs_within(small, threshold)
     large = materialise(large, "large_blocks")
     has_large = not large.isEmpty()
     if has_large:

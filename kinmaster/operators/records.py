@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from kinmaster.functions.similarity import edit_similarity, hashed_grams, hashed_words, jaccard
 from kinmaster.functions.text import is_blank
 from kinmaster.schema import FieldSpec
-from kinmaster.session import materialise
+from kinmaster.session import materialise, spread
 
 
 def _word_column(field: FieldSpec) -> str:
@@ -41,6 +41,7 @@ def prepare_records(
     once, since blocking, scoring and clustering all read it.
     """
     texts = [f for f in fields if f.kind == "text"]
+    df = spread(df)
     columns = [F.col(record_id).alias("record_id"), *[F.col(c) for c in keep]]
     columns += [F.col(f.name) for f in fields if f.kind != "text"]
     columns += [hashed_words(F.col(f.name)).alias(_word_column(f)) for f in texts]
@@ -88,16 +89,22 @@ def collapse_copies(records: DataFrame, fields: Sequence[FieldSpec]) -> tuple[Da
     Records without any token have nothing to match on and stand alone.
     """
     compared = [_word_column(f) if f.kind == "text" else f.name for f in fields]
-    digest = F.when(
-        (F.size("tokens") > 0) & (F.size("keys") > 0),
-        F.sha2(F.to_json(F.struct(*compared, F.sort_array("keys").alias("keys"))), 256),
-    ).otherwise(F.concat(F.lit("alone-"), F.col("record_id").cast("string")))
+    values = [*compared, "sorted_keys"]
+    # 128 bits over all values; hashing skips NULLs, so where they are counts too.
+    flat = [c for v in values for c in (F.col(v), F.col(v).isNull())]
+    alone = F.when((F.size("tokens") == 0) | (F.size("keys") == 0), F.col("record_id"))
+    digest = F.struct(
+        F.xxhash64(F.lit(0), *flat).alias("a"), F.xxhash64(F.lit(1), *flat).alias("b"), alone.alias("alone")
+    )
+    records = records.withColumn("sorted_keys", F.sort_array("keys"))
     digests = with_words(records, fields).select("record_id", digest.alias("digest"))
     digests = materialise(digests, "digests")
+    records = records.drop("sorted_keys")
     groups = digests.groupBy("digest").agg(
         F.min("record_id").alias("rep_id"), F.count(F.lit(1)).alias("n_copies")
     )
-    copies = digests.join(groups.select("digest", "rep_id"), "digest").select("record_id", "rep_id")
+    same = F.col("d.digest").eqNullSafe(F.col("g.digest"))
+    copies = digests.alias("d").join(groups.alias("g"), same).select("record_id", "rep_id")
     reps = records.join(
         groups.select(F.col("rep_id").alias("record_id"), "n_copies"), "record_id"
     )
