@@ -23,6 +23,7 @@ from pyspark.sql import functions as F
 from kinmaster import schema as S
 from kinmaster.functions.similarity import jaccard, words
 from kinmaster.functions.text import is_blank
+from kinmaster.operators.joins import join_back
 from kinmaster.operators.records import feature_columns, fixed_score, with_words
 from kinmaster.schema import FieldSpec
 from kinmaster.session import materialise
@@ -239,7 +240,7 @@ def split_blocks(members: DataFrame, limit: int) -> tuple[DataFrame, DataFrame]:
     A block of one is neither, so most keys are gone before the join back.
     """
     sizes = members.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
-    sized = members.join(sizes, "key")
+    sized = join_back(members, sizes, "key", "key")
     return sized.where(F.col("n") <= limit).drop("n"), sized.where(F.col("n") > limit).drop("n")
 
 
@@ -306,19 +307,11 @@ def rule_coverage(labels: DataFrame, keys: DataFrame) -> DataFrame:
         F.sum(F.expr("n * (n - 1) div 2")).alias("n_pairs"), F.max("n").alias("largest_block")
     )
     matches = labels.where("is_match = 1").select("left_id", "right_id").distinct()
-    total = matches.agg(F.count(F.lit(1)).alias("n_matches"))
+    total = F.greatest(matches.agg(F.count(F.lit(1))).scalar(), F.lit(1))
     covered = covered_matches(matches, keys).groupBy("rule").agg(F.count(F.lit(1)).alias("covered"))
-    # ``total`` is one row.
-    return (
-        cost.join(covered, "rule", "left")
-        .join(F.broadcast(total))
-        .select(
-            "rule",
-            "n_pairs",
-            "largest_block",
-            F.coalesce("covered", F.lit(0).cast("bigint")).alias("covered"),
-            F.round(F.coalesce("covered", F.lit(0)) / F.greatest("n_matches", F.lit(1)), 6).alias("recall"),
-        )
+    hits = F.coalesce("covered", F.lit(0).cast("bigint"))
+    return cost.join(covered, "rule", "left").select(
+        "rule", "n_pairs", "largest_block", hits.alias("covered"), F.round(hits / total, 6).alias("recall")
     )
 
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Observation
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from kinmaster import schema as S
@@ -19,6 +19,7 @@ from kinmaster.operators.blocking import (
     similar_in_blocks,
     split_blocks,
 )
+from kinmaster.operators.joins import join_back
 from kinmaster.operators.numbering import dense_number
 from kinmaster.operators.records import collapse_copies
 from kinmaster.operators.reshape import to_front
@@ -39,10 +40,9 @@ def connected_components(nodes: DataFrame, edges: DataFrame) -> DataFrame:
     """
     def stored(df: DataFrame) -> tuple[DataFrame, tuple]:
         """The written edges; their number and a sum of hashes tell them apart."""
-        seen = Observation()
-        total = F.sum(F.xxhash64("u", "v").cast("decimal(38,0)")).alias("total")
-        df = materialise(df.observe(seen, F.count(F.lit(1)).alias("n"), total), "links")
-        return df, (seen.get["n"], seen.get["total"])
+        df = materialise(df, "links")
+        total = F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))
+        return df, tuple(df.agg(F.count(F.lit(1)), total).first())
 
     links = edges.select(F.col("left_id").alias("u"), F.col("right_id").alias("v")).where("u <> v")
     links, state = stored(links.distinct())
@@ -64,13 +64,13 @@ def connected_components(nodes: DataFrame, edges: DataFrame) -> DataFrame:
 def _large_star(links: DataFrame) -> DataFrame:
     both = links.select("u", "v").union(links.select(F.col("v").alias("u"), F.col("u").alias("v")))
     lowest = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
-    return both.join(lowest, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
+    return join_back(both, lowest, "u", "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
 
 
 def _small_star(links: DataFrame) -> DataFrame:
     down = links.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v"))
     lowest = down.groupBy("u").agg(F.min("v").alias("m"))
-    moved = down.join(lowest, "u").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
+    moved = join_back(down, lowest, "u", "u").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
     return moved.union(lowest.select("u", F.col("m").alias("v"))).distinct()
 
 
@@ -94,7 +94,7 @@ def spanning_links(
     has_large = not large.isEmpty()
     if has_large:
         hubs = large.groupBy("key").agg(F.min("record_id").alias("left_id"))
-        star = large.join(hubs, "key").where("left_id <> record_id")
+        star = join_back(large, hubs, "key", "key").where("left_id <> record_id")
         pairs = pairs.union(star.select("left_id", F.col("record_id").alias("right_id"))).distinct()
 
     def match(candidates: DataFrame) -> DataFrame:
@@ -114,7 +114,7 @@ def spanning_links(
         .where("parts > 1")
         .select("key", "main")
     )
-    split = materialise(placed.join(main, "key"), "split_blocks")
+    split = materialise(join_back(placed, main, "key", "key"), "split_blocks")
     if split.isEmpty():
         return links
     signed = materialise(sign_members(split, records, threshold, frequent), "signatures")
@@ -152,7 +152,7 @@ def cluster_records(
 def number_clusters(clusters: DataFrame, start: int = 0) -> DataFrame:
     """``cluster_id`` counted from ``start`` in order of the clusters' lowest record."""
     numbered = dense_number(clusters.select("component").distinct(), ["component"], "cluster_id", start)
-    return clusters.join(numbered, "component")
+    return join_back(clusters, numbered, "component", "component")
 
 
 def cluster_count(clusters: DataFrame, column: str = "cluster_id") -> DataFrame:
@@ -193,11 +193,12 @@ def cluster_confidence(clusters: DataFrame, scored: DataFrame, copies: DataFrame
     unseen = F.col("size") - F.col("n_copies") - F.coalesce("seen", F.lit(0))
     total = F.coalesce("distance", F.lit(0.0)) + copies_apart + unseen
     confidence = 1 - F.sqrt(total / F.greatest(F.col("size") - 1, F.lit(1)))
-    per_rep = member.join(paired, "rep_id", "left").join(sizes, "component").select(
+    per_rep = join_back(member.join(paired, "rep_id", "left"), sizes, "component", "component").select(
         "rep_id", confidence.alias("confidence_score")
     )
     alone = F.col("size") == 1
-    return of_reps.join(per_rep, "rep_id").join(sizes, "component").select(
+    rows = join_back(join_back(of_reps, per_rep, "rep_id", "rep_id"), sizes, "component", "component")
+    return rows.select(
         "record_id",
         "component",
         F.when(alone, F.lit(1.0)).otherwise(F.round("confidence_score", 6)).alias("confidence_score"),

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from kinmaster import schema as S
 from kinmaster.functions.text import format_id, id_number, is_pending
 from kinmaster.operators.intake import matched, unmatched
+from kinmaster.operators.joins import join_back
 from kinmaster.operators.numbering import dense_number
 from kinmaster.operators.reshape import rename, to_front
 
@@ -62,13 +63,13 @@ def assign_ids(
     created = dense_number(
         clusters.where(F.col("__known").isNull()), ["__first"], "__number", start
     ).select("__cluster", format_id(F.col("__number"), prefix, width).alias("__created"))
-    filled = clusters.join(
-        created.withColumnRenamed("__cluster", "__c"), F.col("__cluster").eqNullSafe(F.col("__c")), "left"
-    ).select("__cluster", F.coalesce("__known", "__created").alias("__id"))
+    filled = join_back(clusters, created, "__cluster", "__cluster", "left", nulls_match=True).select(
+        "__cluster", F.coalesce("__known", "__created").alias("__id")
+    )
     return (
-        df.join(filled, F.col(cluster).eqNullSafe(F.col("__cluster")), "left")
+        join_back(df, filled, cluster, "__cluster", "left", nulls_match=True)
         .withColumn(column, F.when(is_pending(own), F.col("__id")).otherwise(own))
-        .drop("__cluster", "__id")
+        .drop("__id")
     )
 
 
@@ -81,8 +82,7 @@ def seq_id_per_cluster(
     ids = dense_number(clusters, ["__first"], "__number", start).select(
         "__cluster", format_id(F.col("__number"), prefix, width).alias(column)
     )
-    joined = df.join(ids, F.col(cluster).eqNullSafe(F.col("__cluster"))).drop("__cluster")
-    return to_front(joined, [column])
+    return to_front(join_back(df, ids, cluster, "__cluster", nulls_match=True), [column])
 
 
 def attach_ids(df: DataFrame, ids: DataFrame, key: str) -> DataFrame:
@@ -133,7 +133,7 @@ def duplicate_ids(df: DataFrame, column: str = "final_id", tie: str = "record_nu
     counts = df.groupBy(F.col(column).alias("__id")).agg(F.count(F.lit(1)).alias("n"))
     repeated = counts.where("n > 1").select("__id")
     # Missing IDs equal each other here, as they do when duplicates are marked.
-    return df.join(repeated, F.col(column).eqNullSafe(F.col("__id")), "left_semi").orderBy(column, tie)
+    return join_back(df, repeated, column, "__id", "left_semi", nulls_match=True).orderBy(column, tie)
 
 
 def ids_per_cluster(df: DataFrame, cluster: str = "cluster_id", column: str = "final_id") -> DataFrame:
@@ -148,7 +148,7 @@ def cluster_conflict(df: DataFrame, cluster: str = "cluster_id", column: str = "
         F.coalesce(F.min(column) != F.max(column), F.lit(False)).alias("__mixed")
     )
     return (
-        df.join(bounds, cluster, "left")
+        join_back(df, bounds, cluster, cluster, "left")
         .withColumn("label", F.coalesce(F.col("__mixed"), F.lit(False)).cast("int"))
         .drop("__mixed")
     )

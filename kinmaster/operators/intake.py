@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from kinmaster import schema as S
 from kinmaster.functions.text import normalise_key, status_of, strip
+from kinmaster.operators.joins import join_back
 from kinmaster.operators.numbering import dense_number
 from kinmaster.operators.reshape import rename, to_front, union_all, with_constant
 
@@ -40,7 +41,7 @@ def _keyed(df: DataFrame, key: str, mode: str) -> DataFrame:
 def new_records(extract: DataFrame, master: DataFrame, key: str, mode: str = "compat") -> DataFrame:
     """Extract rows, key normalised, whose key is nowhere in the master (any source)."""
     known = _keys(master, key, mode)
-    return _keyed(extract, key, mode).join(known, F.col(key) == F.col(_KEY), "left_anti")
+    return join_back(_keyed(extract, key, mode), known, key, _KEY, "left_anti")
 
 
 def known_with_status(
@@ -53,7 +54,7 @@ def known_with_status(
 ) -> DataFrame:
     """Extract rows, key normalised, whose key is in the master with a status."""
     known = _keys(with_status(master, status_column, status), key, mode)
-    return _keyed(extract, key, mode).join(known, F.col(key) == F.col(_KEY), "left_semi")
+    return join_back(_keyed(extract, key, mode), known, key, _KEY, "left_semi")
 
 
 def unmatched(df: DataFrame, other: DataFrame, left_key: str, right_key: str) -> DataFrame:
@@ -67,9 +68,16 @@ def matched(df: DataFrame, other: DataFrame, left_key: str, right_key: str) -> D
 
 def _by_code(df: DataFrame, other: DataFrame, left_key: str, right_key: str, how: str) -> DataFrame:
     codes = other.select(strip(F.col(right_key).cast("string")).alias("__code")).distinct()
-    code = strip(F.col(left_key).cast("string"))
+    coded = df.withColumn("__own", strip(F.col(left_key).cast("string")))
     # A missing code equals a missing code, as membership in a list has it.
-    return df.join(codes, code.eqNullSafe(F.col("__code")), how)
+    return join_back(coded, codes, "__own", "__code", how, nulls_match=True).drop("__own")
+
+
+def _known(master: DataFrame, key: str, status_column: str, status: str, mode: str) -> DataFrame:
+    """One row per master key: does any of its rows have the status?"""
+    hit = F.coalesce(F.col(status_column) == status, F.lit(False))
+    keyed = master.select(normalise_key(F.col(key), mode).alias(_KEY), hit.alias("hit"))
+    return keyed.groupBy(_KEY).agg(F.max("hit").alias("__hit"))
 
 
 def tagged_extract(
@@ -80,21 +88,14 @@ def tagged_extract(
 
     The master is reduced to one row per key first, so one join answers both.
     """
-    known = (
-        master.select(
-            normalise_key(F.col(key), mode).alias(_KEY),
-            F.coalesce(F.col(status_column) == status, F.lit(False)).alias("hit"),
-        )
-        .groupBy(_KEY)
-        .agg(F.max("hit").alias("__hit"))
-    )
-    return (
-        _keyed(extract, key, mode)
-        .join(known, F.col(key) == F.col(_KEY), "left")
-        .withColumn("is_new", F.col("__hit").isNull())
-        .withColumn("is_not_found", F.coalesce("__hit", F.lit(False)))
-        .drop("__hit", _KEY)
-    )
+    known = _known(master, key, status_column, status, mode)
+    return _tag(_keyed(extract, key, mode), known, key)
+
+
+def _tag(keyed: DataFrame, known: DataFrame, key: str) -> DataFrame:
+    joined = join_back(keyed, known, key, _KEY, "left")
+    flags = {"is_new": F.col("__hit").isNull(), "is_not_found": F.coalesce("__hit", F.lit(False))}
+    return joined.withColumns(flags).drop("__hit")
 
 
 def combined_status(
@@ -118,18 +119,26 @@ def intake_counts(
     """Per source group: distinct keys on both sides, new and not-found counts."""
     group = F.when(is_source(source_column, split_value), F.lit("split")).otherwise(F.lit("rest"))
 
-    def keys_where(flag: str) -> Column:
-        return F.count_distinct(F.when(F.col(flag), F.col(key)))
+    # Rows are counted per key before the join, distinct keys by counting rows.
+    per_key = (
+        _keyed(extract, key, mode)
+        .groupBy(group.alias("source_group"), key)
+        .agg(F.count(F.lit(1)).alias("n"))
+    )
+    present = F.col(key).isNotNull()
+
+    def rows_where(flag: str) -> Column:
+        return F.coalesce(F.sum(F.when(F.col(flag) & present, F.col("n"))), F.lit(0).cast("bigint"))
 
     ours = (
-        tagged_extract(extract, master, key, status_column, status, mode)
-        .groupBy(group.alias("source_group"))
+        _tag(per_key, _known(master, key, status_column, status, mode), key)
+        .groupBy("source_group")
         .agg(
-            F.count_distinct(key).alias("extract_unique"),
-            F.count_if(F.col("is_new") & F.col(key).isNotNull()).alias("new_rows"),
-            keys_where("is_new").alias("new_unique"),
-            F.count_if(F.col("is_not_found") & F.col(key).isNotNull()).alias("not_found_rows"),
-            keys_where("is_not_found").alias("not_found_unique"),
+            F.count(key).alias("extract_unique"),
+            rows_where("is_new").alias("new_rows"),
+            F.count_if(F.col("is_new") & present).alias("new_unique"),
+            rows_where("is_not_found").alias("not_found_rows"),
+            F.count_if(F.col("is_not_found") & present).alias("not_found_unique"),
         )
     )
     theirs = (

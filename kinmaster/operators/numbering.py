@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from kinmaster.operators.joins import join_back
 from kinmaster.session import materialise
 
 _PART, _INDEX, _OFFSET = "__part", "__index", "__offset"
@@ -51,11 +52,10 @@ def entry_number(df: DataFrame, key: str, order: Sequence[str], name: str = "ent
     """
     numbered = dense_number(df, [key, *order], "__row")
     first = numbered.groupBy(key).agg(F.min("__row").alias("__first"))
-    first = first.withColumnRenamed(key, "__key")
     return (
-        numbered.join(first, F.col(key).eqNullSafe(F.col("__key")))
+        join_back(numbered, first, key, key, nulls_match=True)
         .withColumn(name, F.col("__row") - F.col("__first") + 1)
-        .drop("__row", "__first", "__key")
+        .drop("__row", "__first")
     )
 
 

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from kinmaster.functions.similarity import edit_similarity, hashed_grams, hashed_words, jaccard
 from kinmaster.functions.text import is_blank
+from kinmaster.operators.joins import join_back
 from kinmaster.schema import FieldSpec
 from kinmaster.session import materialise, spread
 
@@ -103,11 +104,8 @@ def collapse_copies(records: DataFrame, fields: Sequence[FieldSpec]) -> tuple[Da
     groups = digests.groupBy("digest").agg(
         F.min("record_id").alias("rep_id"), F.count(F.lit(1)).alias("n_copies")
     )
-    same = F.col("d.digest").eqNullSafe(F.col("g.digest"))
-    copies = digests.alias("d").join(groups.alias("g"), same).select("record_id", "rep_id")
-    reps = records.join(
-        groups.select(F.col("rep_id").alias("record_id"), "n_copies"), "record_id"
-    )
+    copies = join_back(digests, groups, "digest", "digest").select("record_id", "rep_id")
+    reps = records.join(groups.select(F.col("rep_id").alias("record_id"), "n_copies"), "record_id")
     return materialise(reps, "representatives"), materialise(copies, "copies")
 
 

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from kinmaster import schema as S
 from kinmaster.functions.similarity import string_ratio
 from kinmaster.functions.text import address_line
+from kinmaster.operators.joins import join_back
 from kinmaster.operators.numbering import first_entries
 from kinmaster.operators.reshape import drop_empty_columns, group_by_prefix, order_columns, select_columns
 
@@ -98,7 +99,7 @@ def attach_labels(
 
     The score is adjusted before a missing label becomes ``Other``.
     """
-    joined = df.join(labels, key, "left")
+    joined = join_back(df, labels, key, key, "left")
     adjusted = adjust_score(F.col("label"), F.col("link_score"), threshold)
     return joined.withColumn("adjusted_link_score", adjusted).withColumn(
         "label", F.coalesce("label", F.lit(S.LABEL_OTHER))

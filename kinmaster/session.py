@@ -8,6 +8,8 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+_MARKED: set[str] = set()
+
 
 def local_session(cpus: int | str = 8, app: str = "kinmaster") -> SparkSession:
     """A single-machine session for tests and the benchmark.
@@ -30,21 +32,28 @@ def local_session(cpus: int | str = 8, app: str = "kinmaster") -> SparkSession:
 
 
 def workspace(spark: SparkSession) -> str:
-    """Folder for intermediate tables, below the one the cluster shares.
+    """Folder for this application's intermediate tables, below the shared one.
 
-    The cluster names it in ``spark.checkpoint.dir``. Where that is unset a
+    The cluster names that in ``spark.checkpoint.dir``. Where it is unset a
     local master (tests) gets a temporary folder; any other master is refused,
-    because a machine-local path would be lost with its machine.
+    because a machine-local path would be lost with its machine. The folder is
+    removed when the driver ends.
     """
-    base = spark.conf.get("spark.checkpoint.dir", None)
+    context = spark.sparkContext
+    base = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if not base:
-        context = spark.sparkContext
         if not context.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-        base = tempfile.mkdtemp(prefix="kinmaster-")
-        context.setCheckpointDir(base)
-        spark.conf.set("spark.checkpoint.dir", base)
-    return f"{base.rstrip('/')}/kinmaster/{spark.sparkContext.applicationId}"
+        context.setCheckpointDir(tempfile.mkdtemp(prefix="kinmaster-"))
+        base = context.getCheckpointDir()
+    folder = f"{base.rstrip('/')}/kinmaster/{context.applicationId}"
+    if folder not in _MARKED:
+        path = context._jvm.org.apache.hadoop.fs.Path(folder)
+        system = path.getFileSystem(context._jsc.hadoopConfiguration())
+        system.mkdirs(path)
+        system.deleteOnExit(path)
+        _MARKED.add(folder)
+    return folder
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:
