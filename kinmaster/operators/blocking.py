@@ -83,16 +83,15 @@ def rule_phrases(column: str, length: int = 3, keep: int = 8) -> Column:
     they stand, so texts with much in common keep some of the same ones.
     """
     def phrases(tokens: Column) -> Column:
-        last = F.greatest(F.size(tokens) - (length - 1), F.lit(1))
+        starts = F.slice(tokens, F.lit(1), F.greatest(F.size(tokens) - (length - 1), F.lit(1)))
         return F.transform(
-            F.sequence(F.lit(1), last),
-            lambda i: F.md5(F.concat_ws(" ", *[F.get(tokens, i + (k - 1)) for k in range(length)])),
+            starts, lambda w, i: F.md5(F.concat_ws(" ", w, *[F.get(tokens, i + k) for k in range(1, length)]))
         )
 
     # The outer one-element array names the word list, so that it is made once.
     tokens = F.array_remove(F.split(F.col(column), " "), "")
     found = F.element_at(F.transform(F.array(tokens), phrases), 1)
-    kept = F.slice(F.sort_array(F.array_distinct(found)), 1, keep)
+    kept = F.slice(F.array_distinct(F.sort_array(found)), 1, keep)
     return F.when(~is_blank(F.col(column)), kept).otherwise(F.array().cast("array<string>"))
 
 
@@ -213,9 +212,10 @@ def compare(
 ) -> DataFrame:
     """Pairs that really reach the similarity, with features and the fixed score."""
     joined = pairs.join(_side(left, "left_"), "left_id").join(_side(right, "right_"), "right_id")
-    near = joined.withColumn("similarity", jaccard(F.col("left_tokens"), F.col("right_tokens"))).where(
-        F.col("similarity") >= threshold
-    )
+    # The similarity test, arranged so that the sets are intersected only once.
+    common = F.size(F.array_intersect("left_tokens", "right_tokens"))
+    enough = common * (1 + threshold) >= (F.size("left_tokens") + F.size("right_tokens")) * threshold - 1e-6
+    near = joined.where(enough).withColumn("similarity", jaccard(F.col("left_tokens"), F.col("right_tokens")))
     near = with_words(with_words(near, fields, "left_"), fields, "right_")
     shared = F.size(F.array_intersect("left_keys", "right_keys")).alias("shared_keys")
     names = [n for f in fields for n in (f"sim_{f.name}", f"missing_{f.name}")]
