@@ -143,7 +143,7 @@ def cluster_records(
         linked.withColumn("linked", F.lit(True)), "rep_id", "left"
     ).select("rep_id", ((F.col("self_score") >= score) | F.col("linked").isNotNull()).alias("together"))
     by_rep = components.withColumnRenamed("record_id", "rep_id").join(together, "rep_id")
-    clusters = copies.join(by_rep, "rep_id").select(
+    clusters = join_back(copies, by_rep, "rep_id", "rep_id").select(
         "record_id", F.when(F.col("together"), F.col("component")).otherwise(F.col("record_id")).alias("component")
     )
     return clusters, reps, copies

@@ -30,6 +30,7 @@ from kinmaster.operators import (
     review,
     scoring,
 )
+from kinmaster.operators.joins import join_back
 from kinmaster.plans import roles
 from kinmaster.schema import ACCOUNT_FIELDS
 from kinmaster.session import materialise, scratch_path
@@ -428,7 +429,8 @@ def cluster_confidence(spark, sf_dir):
     scored = materialise(scored, "scored")
     links = scored.where(F.col("score") >= S.DEDUPE_THRESHOLD)
     found = clustering.connected_components(reps, links)
-    clusters = copies.join(found.withColumnRenamed("record_id", "rep_id"), "rep_id").drop("rep_id")
+    found = found.withColumnRenamed("record_id", "rep_id")
+    clusters = join_back(copies, found, "rep_id", "rep_id").select("record_id", "component")
     return clustering.cluster_confidence(clusters, scored, copies, reps)
 
 

@@ -72,10 +72,11 @@ def materialise(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Use all cores for heavy work per row on an input in fewer splits than cores.
+# Inputs below this estimate may sit in too few row groups to use all cores.
+SMALL_INPUT = 64 << 20
 
-    Large inputs have more splits than that and are left as they are.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+def spread(df: DataFrame) -> DataFrame:
+    """Redistribute a small input before heavy work per row; leave others alone."""
+    estimate = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
+    return df.repartition(df.sparkSession.sparkContext.defaultParallelism) if estimate < SMALL_INPUT else df
