@@ -163,22 +163,23 @@ def _size_fits(a: str, b: str, threshold: float) -> Column:
 
 
 def similar_in_blocks(left: DataFrame, right: DataFrame, threshold: float, condition: Column) -> DataFrame:
-    """Distinct pairs sharing a key and enough signatures.
+    """Distinct (left_id, right_id), low id first, sharing a key and enough signatures.
 
     Both sides have ``key`` and the columns of ``signatures``, the right side's
     with an ``r_`` in front (apart from ``key``, ``sig`` and ``single``).
     """
+    lower, higher = F.least("record_id", "r_record_id"), F.greatest("record_id", "r_record_id")
     return (
         left.join(right, ["key", "sig", "single"])
         .where(condition & _size_fits("n_tokens", "r_n_tokens", threshold))
-        .groupBy("record_id", "r_record_id")
+        .groupBy(lower.alias("left_id"), higher.alias("right_id"))
         .agg(
             F.count_if("single").alias("common"),
             F.bool_or(~F.col("single")).alias("frequent"),
             F.first(F.least("needed", "r_needed")).alias("needed"),
         )
         .where("frequent OR common >= needed")
-        .select("record_id", "r_record_id")
+        .select("left_id", "right_id")
     )
 
 
@@ -289,7 +290,7 @@ def candidate_links(
         signed = materialise(sign_members(materialise(members, "members"), both, threshold, frequent), "signatures")
         found = similar_in_blocks(
             signed.where("record_id.side = 0"), as_right(signed.where("record_id.side = 1")), threshold, F.lit(True)
-        ).select(F.col("record_id.id").alias("left_id"), F.col("r_record_id.id").alias("right_id"))
+        ).select(F.col("left_id.id").alias("left_id"), F.col("right_id.id").alias("right_id"))
         pairs = pairs.union(found).distinct()
     return compare(pairs, left, right, fields, threshold)
 

@@ -74,6 +74,27 @@ def _small_star(links: DataFrame) -> DataFrame:
     return moved.union(lowest.select("u", F.col("m").alias("v"))).distinct()
 
 
+def _star(groups: DataFrame, key: str) -> DataFrame:
+    """(left_id, right_id): each group's lowest record with every other one."""
+    hubs = groups.groupBy(key).agg(F.min("record_id").alias("left_id"))
+    pairs = join_back(groups, hubs, key, key).where("left_id <> record_id")
+    return pairs.select("left_id", F.col("record_id").alias("right_id")).distinct()
+
+
+def _split(groups: DataFrame, key: str, components: DataFrame) -> DataFrame:
+    """Members of the groups in several components, with theirs and the main one."""
+    placed = materialise(groups.join(components, "record_id"), "placed")
+    main = (
+        placed.groupBy(key, "component")
+        .agg(F.count(F.lit(1)).alias("n"))
+        .groupBy(key)
+        .agg(F.max_by("component", F.struct("n", "component")).alias("main"), F.count(F.lit(1)).alias("parts"))
+        .where("parts > 1")
+        .select(key, "main")
+    )
+    return materialise(join_back(placed, main, key, key), "split")
+
+
 def spanning_links(
     records: DataFrame, fields: Sequence[FieldSpec], threshold: float, score: float,
     frequent: int = FREQUENT, limit: int = BLOCK_LIMIT,
@@ -81,21 +102,20 @@ def spanning_links(
     """Scored links with the same components as all matching pairs.
 
     A match is a candidate pair with a score of at least ``score``. Small blocks
-    are compared pair by pair. In a large block every record is compared with
-    the block's first record only; where that leaves the block in several
-    components, the records outside its main one are compared with those they
-    can be similar to. A match is thus either inside one component already or
-    is looked at, so no connection is lost, while a family of near copies costs
-    one comparison per record.
+    are compared pair by pair. A large block is narrowed down in steps, each
+    only for what the one before left in several components: every record
+    against the block's first record; every record against the first one with
+    the same signature; those outside a signature's main component against the
+    others with it. A match is thus either inside one component already or is
+    looked at, so no connection is lost, while a family of near copies costs a
+    few comparisons per record.
     """
     small, large = split_blocks(materialise(block_members(records), "members"), limit)
     pairs = pairs_within(small, threshold)
-    large = materialise(large, "large_blocks")
+    large = materialise(large.select("key", "record_id"), "large_blocks")
     has_large = not large.isEmpty()
     if has_large:
-        hubs = large.groupBy("key").agg(F.min("record_id").alias("left_id"))
-        star = join_back(large, hubs, "key", "key").where("left_id <> record_id")
-        pairs = pairs.union(star.select("left_id", F.col("record_id").alias("right_id"))).distinct()
+        pairs = pairs.union(_star(large, "key")).distinct()
 
     def match(candidates: DataFrame) -> DataFrame:
         scored = compare(candidates, records, records, fields, threshold).where(F.col("score") >= score)
@@ -104,24 +124,24 @@ def spanning_links(
     links = match(pairs)
     if not has_large:
         return links
-    found = connected_components(large.select("record_id").distinct(), links)
-    placed = materialise(large.join(found, "record_id"), "placed")
-    main = (
-        placed.groupBy("key", "component")
-        .agg(F.count(F.lit(1)).alias("n"))
-        .groupBy("key")
-        .agg(F.max_by("component", F.struct("n", "component")).alias("main"), F.count(F.lit(1)).alias("parts"))
-        .where("parts > 1")
-        .select("key", "main")
-    )
-    split = materialise(join_back(placed, main, "key", "key"), "split_blocks")
-    if split.isEmpty():
+    concerned = large.select("record_id").distinct()
+    components = connected_components(concerned, links)
+    blocks = _split(large, "key", components).select("key", "record_id")
+    if blocks.isEmpty():
         return links
-    signed = materialise(sign_members(split, records, threshold, frequent), "signatures")
-    apart = F.col("component") != F.col("r_component")
-    more = similar_in_blocks(signed.where("component <> main"), as_right(signed), threshold, apart)
-    lower, higher = F.least("record_id", "r_record_id"), F.greatest("record_id", "r_record_id")
-    more = more.select(lower.alias("left_id"), higher.alias("right_id")).distinct()
+    group = F.struct("key", "sig", "single").alias("group")
+    signed = materialise(
+        sign_members(blocks.withColumn("n_tokens", F.lit(0)), records, threshold, frequent).select("*", group), "signatures"
+    )
+    sizes = signed.groupBy("group").agg(F.count(F.lit(1)).alias("n"))
+    crowded = materialise(join_back(signed, sizes.where(F.col("n") > limit), "group", "group"), "crowded")
+    if not crowded.isEmpty():
+        links = materialise(links.unionByName(match(_star(crowded, "group"))), "matches")
+        components = connected_components(concerned, links)
+    apart = _split(signed, "group", components).drop("group")
+    more = similar_in_blocks(
+        apart.where("component <> main"), as_right(apart), threshold, F.col("component") != F.col("r_component")
+    )
     return links.unionByName(match(more))
 
 

@@ -23,12 +23,6 @@ def at_least(df: DataFrame, column: str, threshold: float = S.REVIEW_THRESHOLD)
     return df.where(F.col(column) >= threshold)
 
 
-def entries(df: DataFrame, key: str, order: Sequence[str], columns: Sequence[str]) -> DataFrame:
-    """Each group's rows as an ordered list (only for groups known to be small)."""
-    row = F.struct(*order, *[c for c in columns if c not in order])
-    return df.where(F.col(key).isNotNull()).groupBy(key).agg(F.sort_array(F.collect_list(row)).alias("entries"))
-
-
 def widen_entries(
     df: DataFrame, key: str, columns: Sequence[str], order: Sequence[str], names: Sequence[str],
 ) -> DataFrame:

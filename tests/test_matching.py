@@ -140,6 +140,27 @@ def test_a_family_of_copies_costs_one_comparison_each(spark):
     assert sizes[0]["count"] == 600 and len(sizes) == 301
 
 
+def test_several_families_in_one_block(spark, monkeypatch):
+    """Families other than the first record's are not compared pair by pair either."""
+    rows = [
+        (100 * f + i, f"s {' '.join(f'f{f}w{k}' for k in range(25))} n{f}x{i}", "en") for f in range(3) for i in range(90)
+    ]
+    compared = []
+    true_compare = clustering.compare
+
+    def counting(pairs, *args):
+        compared.append(pairs.count())
+        return true_compare(pairs, *args)
+
+    monkeypatch.setattr(clustering, "compare", counting)
+    rec = prepared(spark, rows, {"start": blocking.rule_first_chars("text", 1)})
+    clusters, _, _ = clustering.cluster_records(rec, FIELDS, THRESHOLD, 0.5, frequent=1000, limit=30)
+    got = {r["record_id"]: r["component"] for r in clusters.collect()}
+    assert got == {r[0]: r[0] // 100 * 100 for r in rows}
+    # All pairs within the families would be 12,015.
+    assert sum(compared) < 4 * len(rows)
+
+
 def test_components_of_chains_and_lone_records(spark):
     rng = random.Random(5)
     ids = list(range(400))

@@ -76,9 +76,3 @@ def test_overrides_replace_labels(spark):
     df = spark.createDataFrame([(1, "Other"), (2, "Other")], "cluster_id int, label string")
     changed = review.apply_overrides(df, df.where("cluster_id = 2").withColumn("label", F.lit("Reliable match")))
     assert sorted(map(tuple, changed.collect())) == [(1, "Other"), (2, "Reliable match")]
-
-
-def test_entries_in_file_order(spark):
-    df = linked(spark, pair(1, 0.1, "B", "A"))
-    out = review.entries(df, "cluster_id", ORDER, ["name"]).first()
-    assert [e["name"] for e in out["entries"]] == ["B", "A"]
