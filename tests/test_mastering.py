@@ -72,3 +72,40 @@ def test_quality_gate_keeps_bad_rows_out_of_matching_only(spark):
     right = left.withColumn("id", F.lit("R")).withColumn("address", F.lit("Main Street"))
     linked, _ = mastering.link(left, right, "id", "id", quality_gate=True)
     assert linked.count() == 2 and linked.where("cluster_id IS NOT NULL").count() == 0
+
+
+def test_arrivals_one_after_the_other(spark, tmp_path):
+    """IDs given to the first arrival stay, and the second one builds on them."""
+    from pyspark.sql import types as T
+
+    from kinmaster.schema import EXTRACT_SCHEMA
+    from kinmaster.streaming.intake import stream_files
+    from kinmaster.streaming.mastering import master_stream
+
+    _, master, second = tables(spark)
+    schema = T.StructType([T.StructField("ordinal", T.IntegerType()), *EXTRACT_SCHEMA.fields])
+    folder, sink = tmp_path / "in", str(tmp_path / "out")
+    folder.mkdir()
+    header = ",".join(f.name for f in schema.fields) + "\n"
+
+    def arrive(name, *rows):
+        (folder / name).write_text(header + "".join(",".join(r) + "\n" for r in rows))
+        source = stream_files(spark, str(folder), "Mastering Full Extract", schema)
+        master_stream(source, master, second, sink, str(tmp_path / "c"), ["ordinal"]).awaitTermination()
+
+    arrive(
+        "Mastering Full Extract 1.csv",
+        ("5", "ExFactory", "q4", "ACME Pharmcy", "12 Main  Street", "Boston", "MA", "02139", "20"),
+        ("6", "Other", "q5", "Brand New Hospital", "77 Hill Street", "Denver", "CO", "80201", "21"),
+    )
+    first = {r["ordinal"]: r["final_id"] for r in spark.read.parquet(f"{sink}/batch_id=0/all_accounts").collect()}
+    assert first[5] == "EMUSHCO0000005" and first[6] == "EMUSHCO0000008"
+    arrive(
+        "Mastering Full Extract 2.csv",
+        ("7", "Other", "q6", "Brand-New Hospital", "77 Hill Street", "Denver", "CO", "80201", "22"),
+        ("8", "Other", "q5", "Brand New Hospital", "77 Hill Street", "Denver", "CO", "80201", "21"),
+        ("9", "Other", "q7", "Quite Different Care", "1 Lake Road", "Chicago", "IL", "60007", "23"),
+    )
+    second_run = {r["ordinal"]: r["final_id"] for r in spark.read.parquet(f"{sink}/batch_id=1/all_accounts").collect()}
+    assert {k: second_run[k] for k in first} == first
+    assert second_run[7] == first[6] and second_run[9] == "EMUSHCO0000009" and 8 not in second_run
