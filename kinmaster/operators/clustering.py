@@ -33,34 +33,37 @@ def connected_components(nodes: DataFrame, edges: DataFrame) -> DataFrame:
     """(record_id, component): the lowest record id reachable from each record.
 
     Alternates large-star and small-star steps (Kiveris et al. 2014): each links
-    a node's neighbours to the lowest of them. Minima are combined before the
-    shuffle, and the join back splits a node with very many edges (AQE), so a
-    hub is never gathered in one task. Every round is written, which keeps the
-    plan short and lets lost tasks be redone.
+    a node's neighbours to the lowest of them, until every node points at the
+    lowest of its component. Minima are combined before the shuffle, and the
+    join back splits a node with very many edges, so a hub is never gathered in
+    one task. Every round is written, which keeps the plan short and lets lost
+    tasks be redone.
     """
-    def stored(df: DataFrame) -> tuple[DataFrame, tuple]:
-        """The written edges; their number and a sum of hashes tell them apart."""
-        df = materialise(df, "links")
-        total = F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))
-        return df, tuple(df.agg(F.count(F.lit(1)), total).first())
-
-    links = edges.select(F.col("left_id").alias("u"), F.col("right_id").alias("v")).where("u <> v")
-    links, state = stored(links.distinct())
+    pair = [F.greatest("left_id", "right_id").alias("u"), F.least("left_id", "right_id").alias("v")]
+    links = materialise(edges.where("left_id <> right_id").select(*pair).distinct(), "links")
     for _ in range(MAX_ROUNDS):
-        if state[0] == 0:
-            break
-        before = state
-        links, state = stored(_small_star(_large_star(links)))
-        if state == before:
+        if _settled(links):
             break
+        links = materialise(_small_star(_large_star(links)), "links")
     else:
-        raise RuntimeError(f"components not stable after {MAX_ROUNDS} rounds")
-    # At the fixed point every node points at the lowest id of its component.
+        raise RuntimeError(f"components not found in {MAX_ROUNDS} rounds")
     return nodes.select("record_id").join(
         links.select(F.col("u").alias("record_id"), "v"), "record_id", "left"
     ).select("record_id", F.coalesce("v", "record_id").alias("component"))
 
 
+def _settled(links: DataFrame) -> bool:
+    """Does every node point at one other that points nowhere itself?
+
+    Links always run from a higher to a lower id, so that is then the lowest.
+    """
+    ends = links.select(F.col("u").alias("node"), F.lit(1).alias("out"), F.lit(0).alias("in")).union(
+        links.select("v", F.lit(0), F.lit(1))
+    )
+    counts = ends.groupBy("node").agg(F.sum("out").alias("out"), F.max("in").alias("in"))
+    return counts.where("out > 1 OR (out = 1 AND in = 1)").isEmpty()
+
+
 def _large_star(links: DataFrame) -> DataFrame:
     both = links.select("u", "v").union(links.select(F.col("v").alias("u"), F.col("u").alias("v")))
     lowest = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
@@ -83,7 +86,7 @@ def _star(groups: DataFrame, key: str) -> DataFrame:
 
 def _split(groups: DataFrame, key: str, components: DataFrame) -> DataFrame:
     """Members of the groups in several components, with theirs and the main one."""
-    placed = materialise(groups.join(components, "record_id"), "placed")
+    placed = groups.join(components, "record_id")
     main = (
         placed.groupBy(key, "component")
         .agg(F.count(F.lit(1)).alias("n"))
@@ -125,7 +128,7 @@ def spanning_links(
     if not has_large:
         return links
     concerned = large.select("record_id").distinct()
-    components = connected_components(concerned, links)
+    components = materialise(connected_components(concerned, links), "components")
     blocks = _split(large, "key", components).select("key", "record_id")
     if blocks.isEmpty():
         return links
@@ -133,11 +136,11 @@ def spanning_links(
     signed = materialise(
         sign_members(blocks.withColumn("n_tokens", F.lit(0)), records, threshold, frequent).select("*", group), "signatures"
     )
-    sizes = signed.groupBy("group").agg(F.count(F.lit(1)).alias("n"))
-    crowded = materialise(join_back(signed, sizes.where(F.col("n") > limit), "group", "group"), "crowded")
-    if not crowded.isEmpty():
+    sizes = signed.groupBy("group").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > limit)
+    if not sizes.isEmpty():
+        crowded = join_back(signed, sizes, "group", "group")
         links = materialise(links.unionByName(match(_star(crowded, "group"))), "matches")
-        components = connected_components(concerned, links)
+        components = materialise(connected_components(concerned, links), "components")
     apart = _split(signed, "group", components).drop("group")
     more = similar_in_blocks(
         apart.where("component <> main"), as_right(apart), threshold, F.col("component") != F.col("r_component")
