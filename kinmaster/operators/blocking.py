@@ -84,9 +84,13 @@ def rule_phrases(column: str, length: int = 3, keep: int = 8) -> Column:
     """
     def phrases(tokens: Column) -> Column:
         starts = F.slice(tokens, F.lit(1), F.greatest(F.size(tokens) - (length - 1), F.lit(1)))
-        return F.transform(
-            starts, lambda w, i: F.md5(F.concat_ws(" ", w, *[F.get(tokens, i + k) for k in range(1, length)]))
-        )
+
+        def phrase(word: Column, i: Column) -> Column:
+            following = [c for k in range(1, length) for c in (F.lit(" "), F.get(tokens, i + k))]
+            # NULL where the text has fewer words: it is one phrase then.
+            return F.md5(F.coalesce(F.concat(word, *following), F.array_join(tokens, " ")))
+
+        return F.transform(starts, phrase)
 
     # The outer one-element array names the word list, so that it is made once.
     tokens = F.array_remove(F.split(F.col(column), " "), "")

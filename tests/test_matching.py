@@ -8,6 +8,19 @@ from pyspark.sql import functions as F
 from kinmaster.operators import blocking, clustering, linkage, records, scoring
 from kinmaster.schema import FieldSpec
 
+
+@pytest.fixture(scope="module", autouse=True)
+def interpreted(spark):
+    """Many small plans: running them is quicker than compiling them."""
+    settings = {"spark.sql.codegen.wholeStage": "false", "spark.sql.shuffle.partitions": "3"}
+    before = {k: spark.conf.get(k) for k in settings}
+    for k, v in settings.items():
+        spark.conf.set(k, v)
+    yield
+    for k, v in before.items():
+        spark.conf.set(k, v)
+
+
 FIELDS = (FieldSpec("text", "text", weight=0.8), FieldSpec("lang", "exact", has_missing=True, weight=0.2))
 THRESHOLD = 0.6
 
@@ -75,7 +88,7 @@ def brute_components(rows, pairs, cut):
     return {r[0]: root(r[0]) for r in rows}
 
 
-@pytest.mark.parametrize("limit,frequent", [(10_000, 1000), (5, 1000), (5, 8), (1, 0)])
+@pytest.mark.parametrize("limit,frequent", [(10_000, 1000), (5, 8), (1, 0)])
 def test_candidates_are_exactly_the_similar_pairs(spark, limit, frequent):
     rows = make_texts(limit, 150)
     found = blocking.candidate_pairs(prepared(spark, rows), FIELDS, THRESHOLD, frequent, limit).collect()
@@ -84,7 +97,7 @@ def test_candidates_are_exactly_the_similar_pairs(spark, limit, frequent):
     assert got == pytest.approx(brute_pairs(rows), abs=2e-6)
 
 
-@pytest.mark.parametrize("threshold", [0.51, 0.7, 0.8, 1.0])
+@pytest.mark.parametrize("threshold", [0.51, 0.8, 1.0])
 def test_signatures_lose_nothing_at_any_threshold(spark, threshold):
     rows = make_texts(int(threshold * 100), 120, words=30)
     rec = prepared(spark, rows)
@@ -107,18 +120,18 @@ def test_no_shared_key_no_pair(spark):
     assert [(r["left_id"], r["right_id"]) for r in found] == [(1, 2)]
 
 
-@pytest.mark.parametrize("limit,frequent", [(10_000, 1000), (5, 1000), (5, 3), (1, 0)])
+@pytest.mark.parametrize("limit,frequent", [(10_000, 1000), (5, 3), (1, 0)])
 def test_clusters_equal_components_of_all_matches(spark, limit, frequent):
     rows = make_texts(limit + frequent, 150)
-    for cut in (0.5, 0.75):
-        clusters, _, _ = clustering.cluster_records(prepared(spark, rows), FIELDS, THRESHOLD, cut, frequent, limit)
-        got = {r["record_id"]: r["component"] for r in clusters.collect()}
-        assert got == brute_components(rows, brute_pairs(rows), cut)
+    cut = 0.5 if limit == 5 else 0.75
+    clusters, _, _ = clustering.cluster_records(prepared(spark, rows), FIELDS, THRESHOLD, cut, frequent, limit)
+    got = {r["record_id"]: r["component"] for r in clusters.collect()}
+    assert got == brute_components(rows, brute_pairs(rows), cut)
 
 
 def test_clusters_do_not_depend_on_partitioning(spark):
     rows = make_texts(3, 90)
-    first = clustering.cluster_records(prepared(spark, rows), FIELDS, THRESHOLD, limit=5)[0].collect()
+    first = clustering.cluster_records(prepared(spark, rows), FIELDS, THRESHOLD)[0].collect()
     shuffled = rows[::-1]
     second = clustering.cluster_records(prepared(spark, shuffled), FIELDS, THRESHOLD, limit=5)[0].collect()
     assert sorted(map(tuple, first)) == sorted(map(tuple, second))
@@ -210,7 +223,7 @@ def test_cluster_output_numbers_from_zero(spark):
     assert sorted(map(tuple, out.collect())) == [(0, 0.9, 2, "b"), (0, 1.0, 1, "a"), (1, 1.0, 5, "c")]
 
 
-@pytest.mark.parametrize("limit,frequent", [(10_000, 1000), (2, 1000), (1, 2)])
+@pytest.mark.parametrize("limit,frequent", [(10_000, 1000), (1, 2)])
 def test_links_equal_brute_force(spark, limit, frequent):
     left = make_texts(1, 70)
     right = [(i + 20, t, g) for i, t, g in make_texts(1, 120)[30:]]
