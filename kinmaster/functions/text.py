@@ -13,7 +13,7 @@ WHITESPACE = " \t\n\r\x0b\x0c"
 
 # Letters and marks with no plain base letter to fall back on.
 SPECIAL_LETTERS = {
-    "ß": "ss", "Æ": "AE", "æ": "ae", "Œ": "OE", "œ": "oe", "Ø": "O", "ø": "o",
+    "ß": "ss", "ẞ": "Ss", "Æ": "AE", "æ": "ae", "Œ": "OE", "œ": "oe", "Ø": "O", "ø": "o",
     "Ð": "D", "ð": "d", "Đ": "D", "đ": "d", "Þ": "Th", "þ": "th", "Ħ": "H",
     "ħ": "h", "ı": "i", "Ł": "L", "ł": "l", "Ŋ": "NG", "ŋ": "ng", "Ŧ": "T",
     "ŧ": "t", "ĸ": "k", "\u00a0": " ", "‘": "'", "’": "'", "“": '"', "”": '"',
