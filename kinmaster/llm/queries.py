@@ -2,15 +2,19 @@
 
 from __future__ import annotations
 
-from kinmaster.llm import decontaminate, huffman, language, mixing, near_dup, url_rules
+from kinmaster.llm import decontaminate, huffman, language, line_dedup, mixing, near_dup, neighbours, pii, secret_scan, url_rules
 
 REGISTRY = {
     "op1_huffman": huffman.op1_huffman,
+    "op2_pii": pii.op2_pii,
     "op3_url_rules": url_rules.op3_url_rules,
     "op4_language": language.op4_language,
+    "op5_secrets": secret_scan.op5_secrets,
+    "op6_neighbours": neighbours.op6_neighbours,
     "op7_decontaminate": decontaminate.op7_decontaminate,
     "op8_near_dup": near_dup.op8_near_dup,
     "op9_mix": mixing.op9_mix,
+    "op10_line_dedup": line_dedup.op10_line_dedup,
 }
 
 ORACLE = {
