@@ -212,7 +212,8 @@ def nearest_neighbours(
     last = F.least(F.floor((F.col("position") + width) / block), F.lit(top)).cast("int")
     sent = (
         places.join(queries, "node").withColumn("block", F.explode(F.sequence(first, last)))
-        .withColumn("split", F.pmod(F.xxhash64("node"), F.lit(splits)).cast("int")).select("curve", "block", "split", "node", "vector")
+        .withColumn("split", F.pmod(F.xxhash64("node"), F.lit(splits)).cast("int"))
+        .select(*[F.col(c).alias(f"q_{c}") for c in ("curve", "block", "split", "node", "vector")])
     )
     keep = k + 4
 
@@ -220,13 +221,13 @@ def nearest_neighbours(
         columns = ["query", "node", "score"]
         if not len(left) or not len(right):
             return pd.DataFrame({"query": [], "node": [], "score": []}, columns=columns)
-        names, ids = left["node"].to_numpy(), right["node"].to_numpy()
-        found = [(names[q], ids[b], s) for q, near, scores in _nearest(_unit(left["vector"]), _unit(right["vector"]), keep)
+        names, ids = left["q_node"].to_numpy(), right["node"].to_numpy()
+        found = [(names[q], ids[b], s) for q, near, scores in _nearest(_unit(left["q_vector"]), _unit(right["vector"]), keep)
                  for b, s in zip(near, scores, strict=True)]
         return pd.DataFrame(found, columns=columns)
 
     group = ["curve", "block", "split"]
-    found = sent.groupBy(*group).cogroup(members.select(*group, "node", "vector").groupBy(*group)).applyInPandas(
+    found = sent.groupBy(*[f"q_{c}" for c in group]).cogroup(members.select(*group, "node", "vector").groupBy(*group)).applyInPandas(
         compare, "query bigint, node bigint, score double"
     )
     # One pair may be found in several orderings.

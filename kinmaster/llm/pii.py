@@ -169,13 +169,15 @@ def _joined(spans: Column) -> Column:
     return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["end"].cast("string"))), ",")
 
 
+def _count(spans: Column, kind: str) -> Column:
+    return F.size(F.filter(spans, lambda s: s["kind"] == kind)).cast("bigint")
+
+
 def op2_pii(spark, sf_dir: str) -> DataFrame:
     """Counts, digest and spans of the personal data in every document."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
     found = find_pii(docs)
-    counts = [
-        F.size(F.filter("base_spans", lambda s, n=k.name: s["kind"] == n)).cast("bigint").alias(f"n_{k.name}") for k in BASE_KINDS
-    ]
+    counts = [_count(F.col("base_spans"), k.name).alias(f"n_{k.name}") for k in BASE_KINDS]
     return found.select(
         "doc_id", *counts, F.sha2(_joined(F.col("base_spans")).cast("binary"), 256).alias("base_sha256"),
         _joined(F.col("spans")).alias("spans"), F.array_min(F.transform("spans", lambda s: s["score"])).alias("least_score"),

@@ -147,7 +147,7 @@ def made_findings(docs: DataFrame, rows: int = SAMPLE_ROWS, id_col: str = "doc_i
     def pick(words: Sequence[str], salt: int) -> Column:
         return F.element_at(F.array(*[F.lit(w) for w in words]), (F.pmod(F.xxhash64("id", F.lit(salt)), F.lit(len(words))) + 1).cast("int"))
 
-    def word(k: int) -> Column:
+    def drawn_word(k: int) -> Column:
         return F.regexp_replace(F.element_at("w", (F.pmod(F.col("r") + k, F.size("w")) + 1).cast("int")), "[^A-Za-z]", "")
 
     b64 = F.regexp_replace(F.base64(F.unhex(F.substring("h", 1, 60))), "[=]", "")
@@ -156,6 +156,16 @@ def made_findings(docs: DataFrame, rows: int = SAMPLE_ROWS, id_col: str = "doc_i
     tail = pick((" = \"", ": \"", " = '", "=", ": ", " "), 3)
     close = F.when(tail.contains('"'), F.lit('"')).when(tail.contains("'"), F.lit("'")).otherwise(F.lit(""))
     uuid = F.concat_ws("-", F.substring("h", 1, 8), F.substring("h", 9, 4), F.substring("h", 13, 4), F.substring("h", 17, 4), F.substring("h", 21, 12))
+    # Written once, as every shape below uses these.
+    drawn = materialise(drawn.select(
+        "id", "h", b64.alias("b64"), key.alias("key"), other.alias("other"), tail.alias("tail"), close.alias("close"), uuid.alias("uuid"),
+        *[drawn_word(k).alias(f"w{k}") for k in range(1, 12)],
+    ), "drawn")
+    b64, key, other, tail, close, uuid = (F.col(c) for c in ("b64", "key", "other", "tail", "close", "uuid"))
+
+    def word(k: int) -> Column:
+        return F.col(f"w{k}")
+
     kinds = [
         (1, key, F.substring("h", 1, 40)), (1, key, F.substring("h", 1, 32)), (1, key, F.substring("h", 1, 64)), (1, key, b64),
         (1, key, F.concat(F.lit("AKIA"), F.upper(F.translate(F.substring(b64, 1, 16), "+/", "XY")))),
