@@ -2,7 +2,7 @@
 
 Two records are candidates when they agree on a key of at least one blocking
 rule and their token sets have a Jaccard similarity of at least ``threshold``
-(above one half). Keys are computed where the record is, and a few per record
+(above one half), or, without a threshold, on a key alone. Keys are computed where the record is, and a few per record
 are shuffled.
 
 A key may be shared by very many records. Blocks up to a size are paired
@@ -161,8 +161,10 @@ def signatures(tokens: DataFrame, threshold: float, frequent: int = FREQUENT) ->
     return ordered.select("record_id", "n_tokens", "needed", F.inline(sigs))
 
 
-def _size_fits(a: str, b: str, threshold: float) -> Column:
+def _size_fits(a: str, b: str, threshold: float | None) -> Column:
     """Sets of too different size cannot reach the threshold."""
+    if not threshold:
+        return F.lit(True)
     return F.least(a, b) >= F.greatest(a, b) * threshold - 1e-9
 
 
@@ -213,14 +215,15 @@ def _side(records: DataFrame, prefix: str) -> DataFrame:
 
 
 def compare(
-    pairs: DataFrame, left: DataFrame, right: DataFrame, fields: Sequence[FieldSpec], threshold: float
+    pairs: DataFrame, left: DataFrame, right: DataFrame, fields: Sequence[FieldSpec], threshold: float | None
 ) -> DataFrame:
-    """Pairs that really reach the similarity, with features and the fixed score."""
+    """Pairs that really reach the similarity (all, without one), with features and the fixed score."""
     joined = pairs.join(_side(left, "left_"), "left_id").join(_side(right, "right_"), "right_id")
-    # The similarity test, arranged so that the sets are intersected only once.
-    common = F.size(F.array_intersect("left_tokens", "right_tokens"))
-    enough = common * (1 + threshold) >= (F.size("left_tokens") + F.size("right_tokens")) * threshold - 1e-6
-    near = joined.where(enough).withColumn("similarity", jaccard(F.col("left_tokens"), F.col("right_tokens")))
+    if threshold:
+        # The similarity test, arranged so that the sets are intersected only once.
+        common = F.size(F.array_intersect("left_tokens", "right_tokens"))
+        joined = joined.where(common * (1 + threshold) >= (F.size("left_tokens") + F.size("right_tokens")) * threshold - 1e-6)
+    near = joined.withColumn("similarity", jaccard(F.col("left_tokens"), F.col("right_tokens")))
     near = with_words(with_words(near, fields, "left_"), fields, "right_")
     shared = F.size(F.array_intersect("left_keys", "right_keys")).alias("shared_keys")
     names = [n for f in fields for n in (f"sim_{f.name}", f"missing_{f.name}")]
@@ -231,7 +234,7 @@ def compare(
     )
 
 
-def pairs_within(members: DataFrame, threshold: float) -> DataFrame:
+def pairs_within(members: DataFrame, threshold: float | None) -> DataFrame:
     """All pairs of each (small) block that fit in size, once each, low id first."""
     a = members.select("key", F.col("record_id").alias("left_id"), F.col("n_tokens").alias("n_left"))
     b = members.select("key", F.col("record_id").alias("right_id"), F.col("n_tokens").alias("n_right"))
@@ -250,10 +253,15 @@ def split_blocks(members: DataFrame, limit: int) -> tuple[DataFrame, DataFrame]:
 
 
 def candidate_pairs(
-    records: DataFrame, fields: Sequence[FieldSpec], threshold: float,
+    records: DataFrame, fields: Sequence[FieldSpec], threshold: float | None,
     frequent: int = FREQUENT, limit: int = BLOCK_LIMIT,
 ) -> DataFrame:
-    """All candidate pairs of one (prepared) dataset, with features and score."""
+    """All candidate pairs of one (prepared) dataset, with features and score.
+
+    Without a threshold the rules alone decide who meets: every pair of a block.
+    """
+    if not threshold:
+        return compare(pairs_within(block_members(records), None), records, records, fields, None)
     small, large = split_blocks(materialise(block_members(records), "members"), limit)
     pairs = pairs_within(small, threshold)
     large = materialise(large, "large_blocks")
@@ -265,15 +273,21 @@ def candidate_pairs(
 
 
 def candidate_links(
-    left: DataFrame, right: DataFrame, fields: Sequence[FieldSpec], threshold: float,
+    left: DataFrame, right: DataFrame, fields: Sequence[FieldSpec], threshold: float | None,
     frequent: int = FREQUENT, limit: int = BLOCK_LIMIT,
 ) -> DataFrame:
-    """All candidate pairs across two (prepared) datasets, with features and score."""
+    """All candidate pairs across two (prepared) datasets, with features and score.
+
+    Without a threshold the rules alone decide who meets: every pair of a block.
+    """
     a, b = block_members(left), block_members(right)
+    if not threshold:
+        met = a.select("key", F.col("record_id").alias("left_id")).join(b.select("key", F.col("record_id").alias("right_id")), "key")
+        return compare(met.select("left_id", "right_id").distinct(), left, right, fields, None)
     sizes = (
         a.groupBy("key").agg(F.count(F.lit(1)).alias("n_left"))
         .join(b.groupBy("key").agg(F.count(F.lit(1)).alias("n_right")), "key")
-        .select("key", (F.col("n_left") * F.col("n_right") > limit * limit).alias("large"))
+        .select("key", (F.col("n_left").cast("double") * F.col("n_right") > limit * limit).alias("large"))
     )
     sizes = materialise(sizes, "block_sizes")
     direct = sizes.where(~F.col("large")).select("key")
@@ -309,7 +323,7 @@ def rule_coverage(labels: DataFrame, keys: DataFrame) -> DataFrame:
     """
     sizes = keys.groupBy("rule", "key").agg(F.count(F.lit(1)).alias("n"))
     cost = sizes.groupBy("rule").agg(
-        F.sum(F.expr("n * (n - 1) div 2")).alias("n_pairs"), F.max("n").alias("largest_block")
+        F.sum((F.col("n").cast("decimal(19,0)") * (F.col("n") - 1).cast("decimal(19,0)") / 2).cast("decimal(28,0)")).alias("n_pairs"), F.max("n").alias("largest_block")
     )
     matches = labels.where("is_match = 1").select("left_id", "right_id").distinct()
     total = F.greatest(matches.agg(F.count(F.lit(1))).scalar(), F.lit(1))

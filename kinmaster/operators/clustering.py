@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -27,6 +27,9 @@ from kinmaster.schema import FieldSpec
 from kinmaster.session import materialise
 
 MAX_ROUNDS = 100
+# How often every member of a large block is compared with another of its members
+# before what is left apart is compared pair by pair.
+HUB_ROUNDS = 3
 
 
 def connected_components(nodes: DataFrame, edges: DataFrame) -> DataFrame:
@@ -77,11 +80,34 @@ def _small_star(links: DataFrame) -> DataFrame:
     return moved.union(lowest.select("u", F.col("m").alias("v"))).distinct()
 
 
-def _star(groups: DataFrame, key: str) -> DataFrame:
-    """(left_id, right_id): each group's lowest record with every other one."""
-    hubs = groups.groupBy(key).agg(F.min("record_id").alias("left_id"))
-    pairs = join_back(groups, hubs, key, key).where("left_id <> record_id")
-    return pairs.select("left_id", F.col("record_id").alias("right_id")).distinct()
+def _star(groups: DataFrame, key: str, salt: int | None = None) -> DataFrame:
+    """(left_id, right_id), low id first: each group's hub with every other one.
+
+    The hub is the lowest record, or with a ``salt`` one drawn by hash, another in each group.
+    """
+    drawn = F.col("record_id") if salt is None else F.struct(F.xxhash64("record_id", key, F.lit(salt)), F.col("record_id"))
+    hubs = groups.groupBy(key).agg(F.min_by("record_id", drawn).alias("hub"))
+    pairs = join_back(groups, hubs, key, key).where("hub <> record_id")
+    return pairs.select(F.least("hub", "record_id").alias("left_id"), F.greatest("hub", "record_id").alias("right_id")).distinct()
+
+
+def _narrow(blocks: DataFrame, links: DataFrame, match: Callable[[DataFrame], DataFrame], nodes: DataFrame) -> DataFrame:
+    """``links`` and more, until no two records of a block that match are in different components.
+
+    ``blocks`` are members of blocks that ``links`` leave in several components.
+    Hubs first; what they leave apart is compared with all of the block's other components.
+    """
+    for salt in range(HUB_ROUNDS):
+        links = materialise(links.unionByName(match(_star(blocks.select("key", "record_id"), "key", salt))), "matches")
+        blocks = _split(blocks.select("key", "record_id"), "key", materialise(connected_components(nodes, links), "components"))
+        if blocks.isEmpty():
+            return links
+    outside = blocks.where("component <> main").select(
+        F.col("key").alias("k"), F.col("record_id").alias("a"), F.col("component").alias("own")
+    )
+    pairs = outside.join(blocks, (F.col("k") == F.col("key")) & (F.col("own") != F.col("component")))
+    ordered = pairs.select(F.least("a", "record_id").alias("left_id"), F.greatest("a", "record_id").alias("right_id")).distinct()
+    return links.unionByName(match(ordered))
 
 
 def _split(groups: DataFrame, key: str, components: DataFrame) -> DataFrame:
@@ -99,7 +125,7 @@ def _split(groups: DataFrame, key: str, components: DataFrame) -> DataFrame:
 
 
 def spanning_links(
-    records: DataFrame, fields: Sequence[FieldSpec], threshold: float, score: float,
+    records: DataFrame, fields: Sequence[FieldSpec], threshold: float | None, score: float,
     frequent: int = FREQUENT, limit: int = BLOCK_LIMIT,
 ) -> DataFrame:
     """Scored links with the same components as all matching pairs.
@@ -111,7 +137,8 @@ def spanning_links(
     the same signature; those outside a signature's main component against the
     others with it. A match is thus either inside one component already or is
     looked at, so no connection is lost, while a family of near copies costs a
-    few comparisons per record.
+    few comparisons per record. Without a threshold there are no signatures:
+    hubs drawn by hash narrow the blocks instead.
     """
     small, large = split_blocks(materialise(block_members(records), "members"), limit)
     pairs = pairs_within(small, threshold)
@@ -133,6 +160,8 @@ def spanning_links(
     if blocks.isEmpty():
         return links
     group = F.struct("key", "sig", "single").alias("group")
+    if not threshold:
+        return _narrow(blocks, links, match, concerned)
     signed = materialise(
         sign_members(blocks.withColumn("n_tokens", F.lit(0)), records, threshold, frequent).select("*", group), "signatures"
     )
@@ -149,7 +178,7 @@ def spanning_links(
 
 
 def cluster_records(
-    records: DataFrame, fields: Sequence[FieldSpec], threshold: float, score: float = S.DEDUPE_THRESHOLD,
+    records: DataFrame, fields: Sequence[FieldSpec], threshold: float | None, score: float = S.DEDUPE_THRESHOLD,
     frequent: int = FREQUENT, limit: int = BLOCK_LIMIT,
 ) -> tuple[DataFrame, DataFrame, DataFrame]:
     """(clusters, representatives, copies) of prepared records.
@@ -202,9 +231,8 @@ def cluster_confidence(clusters: DataFrame, scored: DataFrame, copies: DataFrame
         F.col("rep_id").alias("right_id"), F.col("component").alias("mate_component"), F.col("n_copies").alias("mates")
     )
     paired = (
-        both.withColumnRenamed("left_id", "rep_id")
-        .join(member.select("rep_id", "component"), "rep_id")
-        .join(mate, "right_id")
+        join_back(join_back(both.withColumnRenamed("left_id", "rep_id"), member.select("rep_id", "component"), "rep_id", "rep_id"),
+                  mate.withColumnRenamed("right_id", "mate_id"), "right_id", "mate_id")
         .where("component = mate_component")
         .groupBy("rep_id")
         .agg(
@@ -235,9 +263,9 @@ def representative_confidence(clusters: DataFrame, reps: DataFrame, copies: Data
     comparison per record, however large a cluster grows.
     """
     rep_of = copies.select(F.col("record_id").alias("component"), F.col("rep_id").alias("left_id"))
-    members = copies.join(clusters, "record_id").join(rep_of, "component")
+    members = join_back(copies.join(clusters, "record_id"), rep_of, "component", "component")
     pairs = members.select("left_id", F.col("rep_id").alias("right_id")).where("left_id <> right_id").distinct()
-    scored = compare(pairs, reps, reps, fields, 0.0).select("left_id", F.col("right_id").alias("rep_id"), "score")
+    scored = compare(pairs, reps, reps, fields, 0.0).select(F.struct("left_id", F.col("right_id").alias("rep_id")).alias("pair"), "score")
     own = reps.select(F.col("record_id").alias("rep_id"), "self_score")
     confidence = (
         F.when(F.col("record_id") == F.col("component"), F.lit(1.0))
@@ -245,8 +273,7 @@ def representative_confidence(clusters: DataFrame, reps: DataFrame, copies: Data
         .otherwise(F.col("score"))
     )
     return (
-        members.join(scored, ["left_id", "rep_id"], "left")
-        .join(own, "rep_id")
+        join_back(join_back(members.withColumn("pair", F.struct("left_id", "rep_id")), scored, "pair", "pair", "left"), own, "rep_id", "rep_id")
         .select("record_id", "component", confidence.alias("confidence_score"))
     )
 

@@ -16,8 +16,9 @@ from kinmaster.operators.reshape import rename
 from kinmaster.schema import ACCOUNT_FIELDS, FieldSpec
 from kinmaster.session import materialise
 
-# Token similarity two records need to be compared at all.
-BLOCK_SIMILARITY = 0.55
+# Records are compared if they share a key of a rule; the score alone decides then.
+# A token similarity may be set to compare fewer of very large inputs.
+BLOCK_SIMILARITY: float | None = None
 
 
 def canonical(df: DataFrame) -> DataFrame:
@@ -42,7 +43,7 @@ def clean_for_linkage(df: DataFrame, fields: Sequence[FieldSpec] = ACCOUNT_FIELD
 
 def dedupe(
     accounts: DataFrame, record_id: str = "record_number", fields: Sequence[FieldSpec] = ACCOUNT_FIELDS,
-    rules: Mapping[str, Column] | None = None, similarity: float = BLOCK_SIMILARITY,
+    rules: Mapping[str, Column] | None = None, similarity: float | None = BLOCK_SIMILARITY,
     threshold: float = S.DEDUPE_THRESHOLD,
 ) -> DataFrame:
     """Accounts with ``cluster_id`` and ``confidence_score`` in front."""
@@ -55,7 +56,7 @@ def dedupe(
 
 def link(
     left: DataFrame, right: DataFrame, left_id: str, right_id: str, fields: Sequence[FieldSpec] = ACCOUNT_FIELDS,
-    rules: Mapping[str, Column] | None = None, similarity: float = BLOCK_SIMILARITY,
+    rules: Mapping[str, Column] | None = None, similarity: float | None = BLOCK_SIMILARITY,
     threshold: float = S.LINK_THRESHOLD, quality_gate: bool = False, comma: str = " ",
 ) -> tuple[DataFrame, DataFrame]:
     """(all rows of both inputs with their links, the linked pairs side by side).
@@ -84,7 +85,7 @@ def label(linked: DataFrame, order: Sequence[str], threshold: float = S.REVIEW_T
 
 def master_accounts(
     extract: DataFrame, master: DataFrame, second: DataFrame, order: Sequence[str], mode: str = "compat",
-    pending_policy: str = "compat", similarity: float = BLOCK_SIMILARITY,
+    pending_policy: str = "compat", similarity: float | None = BLOCK_SIMILARITY,
 ) -> dict[str, DataFrame]:
     """Intake, deduplication and identity in one go; a table per output.
 

@@ -189,7 +189,7 @@ ORACLE["distinct_all_columns_total"] = (
 _TYPES = {
     "l_orderkey": "bigint", "l_partkey": "bigint", "l_suppkey": "bigint", "l_linenumber": "int",
     "l_quantity": "double", "l_extendedprice": "double", "l_discount": "double", "l_tax": "double",
-    "l_returnflag": "string", "l_linestatus": "string",
+    "l_returnflag": "string", "l_linestatus": "string", "l_shipdate": "timestamp_ntz",
 }
 ORACLE["profile"] = " UNION ALL ".join(
     f"SELECT '{c}' AS column_name, '{t}' AS data_type, count({c}) AS non_null, count(*) AS n_rows FROM lineitem"
@@ -263,8 +263,8 @@ ORACLE |= {
     "id_assign_strict": f"WITH {_assigned('strict')} SELECT * FROM assigned",
     "id_qc_counts": f"""WITH {_assigned()} SELECT count(DISTINCT cluster_id) AS unique_clusters,
        count(DISTINCT final_id) AS unique_ids FROM assigned""",
-    "id_qc_duplicates": f"""WITH {CLUSTERED}
-SELECT * FROM (SELECT * FROM clustered WHERE final_id <> '')
+    "id_qc_duplicates": f"""WITH {_assigned()}
+SELECT * FROM assigned
 QUALIFY count(*) OVER (PARTITION BY final_id) > 1 ORDER BY final_id, record_number""",
     "ids_per_cluster": f"""WITH {CLUSTERED}
 SELECT cluster_id, count(DISTINCT final_id) AS unique_ids FROM clustered GROUP BY cluster_id""",
@@ -386,7 +386,7 @@ ORACLE |= {
     "rule_coverage": f"""WITH {DOCS}, {_RULES},
 matches AS (SELECT rep_id AS left_id, doc_id AS right_id FROM copies WHERE doc_id <> rep_id),
 sizes AS (SELECT rule, key, count(*) AS n FROM keys GROUP BY ALL),
-cost AS (SELECT rule, sum(n * (n - 1) // 2)::BIGINT AS n_pairs, max(n) AS largest_block FROM sizes GROUP BY rule),
+cost AS (SELECT rule, sum(n * (n - 1) // 2)::DECIMAL(38,0) AS n_pairs, max(n) AS largest_block FROM sizes GROUP BY rule),
 cov AS (SELECT a.rule, count(*) AS covered FROM matches JOIN keys a ON a.doc_id = left_id
         JOIN keys b ON b.doc_id = right_id AND a.rule = b.rule AND a.key = b.key GROUP BY a.rule)
 SELECT rule, n_pairs, largest_block, coalesce(covered, 0) AS covered,
@@ -414,9 +414,11 @@ FROM member m JOIN sizes USING (component) LEFT JOIN sums USING (doc_id)""",
 numbered AS (SELECT component, row_number() OVER (ORDER BY component) - 1 AS cluster_id
              FROM (SELECT DISTINCT component FROM clusters))
 SELECT n.cluster_id, CASE WHEN a.doc_id = b.doc_id THEN 1.0 ELSE {_SCORE_OF} END AS confidence_score,
-       d.doc_id, d.lang, d.source, d.n_chars
+       d.*
 FROM documents d JOIN clusters k ON k.record_id = d.doc_id JOIN numbered n USING (component)
 JOIN copies a ON a.doc_id = k.component JOIN copies b ON b.doc_id = d.doc_id""",
+    "versioned_set": "SELECT o_orderkey, o_orderstatus FROM orders WHERE o_orderstatus = 'O'",
+    "by_group_size": "SELECT o_orderkey AS record_number, o_custkey AS cluster_id FROM orders",
     "link_best": f"WITH {LEFT_RIGHT} SELECT * FROM best",
     "link_resolved": f"WITH {LEFT_RIGHT} SELECT * FROM resolved",
     "link_output": f"WITH {LEFT_RIGHT} SELECT * FROM linked",
@@ -530,8 +532,9 @@ LEFT JOIN (SELECT * FROM e WHERE entry = 2) b USING (cluster_id)""".replace(
     ),
     "label_store": """WITH p AS (
   SELECT l_orderkey AS left_id, l_partkey AS right_id, (l_returnflag = 'R')::INT AS is_match,
-         strftime(l_shipdate, '%Y-%m-%d') AS labelled_at FROM lineitem)
-SELECT * FROM p QUALIFY row_number() OVER (PARTITION BY left_id, right_id ORDER BY labelled_at DESC, is_match DESC) = 1""",
+         strftime(l_shipdate, '%Y-%m-%d') AS labelled_at, l_linestatus = 'O' AS is_new FROM lineitem)
+SELECT * EXCLUDE (is_new) FROM p
+QUALIFY row_number() OVER (PARTITION BY left_id, right_id ORDER BY labelled_at DESC, is_new DESC, is_match DESC) = 1""",
     "threshold_curve": f"WITH {_CURVE} SELECT * FROM curve",
     "threshold_fbeta": f"WITH {_CURVE} SELECT * FROM curve ORDER BY f_beta DESC, threshold DESC LIMIT 1",
 }

@@ -31,7 +31,7 @@ from kinmaster.operators import (
     scoring,
 )
 from kinmaster.operators.joins import join_back
-from kinmaster.plans import roles
+from kinmaster.plans import mastering, roles
 from kinmaster.schema import ACCOUNT_FIELDS
 from kinmaster.session import materialise, scratch_path
 from kinmaster.sources import readers, writers
@@ -64,7 +64,7 @@ def scan_select(spark, sf_dir):
 
 @query
 def profile(spark, sf_dir):
-    return intake.profile(roles.table(spark, sf_dir, "lineitem").drop("l_shipdate"))
+    return intake.profile(roles.table(spark, sf_dir, "lineitem"))
 
 
 @query
@@ -296,7 +296,7 @@ def id_qc_counts(spark, sf_dir):
 
 @query
 def id_qc_duplicates(spark, sf_dir):
-    return identity.duplicate_ids(roles.clustered(spark, sf_dir).where("final_id <> ''"))
+    return identity.duplicate_ids(id_assign(spark, sf_dir))
 
 
 @query
@@ -439,8 +439,7 @@ def cluster_output(spark, sf_dir):
     fields = roles.DOCUMENT_FIELDS
     clusters, reps, copies = clustering.cluster_records(_records(spark, sf_dir), fields, roles.DOCUMENT_SIMILARITY)
     confidence = clustering.representative_confidence(materialise(clusters, "clusters"), reps, copies, fields)
-    documents = roles.table(spark, sf_dir, "documents").select("doc_id", "lang", "source", "n_chars")
-    return clustering.cluster_output(documents, confidence, "doc_id")
+    return clustering.cluster_output(roles.table(spark, sf_dir, "documents"), confidence, "doc_id")
 
 
 @query
@@ -485,6 +484,48 @@ def pair_horizontal(spark, sf_dir):
     return linkage.pair_horizontal(materialise(linked.withColumn("comments", F.col("comments").cast("string")), "linked"))
 
 
+# --- accounts -----------------------------------------------------------------
+
+
+@query
+def dedupe_accounts(spark, sf_dir):
+    """Customers as accounts in clusters: all rules, all five fields, no similarity cut."""
+    return mastering.dedupe(roles.accounts(spark, sf_dir), "id")
+
+
+def _linked_accounts(spark, sf_dir):
+    return mastering.link(roles.accounts(spark, sf_dir), roles.crm_accounts(spark, sf_dir), "id", "id")
+
+
+@query
+def link_accounts(spark, sf_dir):
+    """Both account datasets with their links from a score of 0.1 up."""
+    return _linked_accounts(spark, sf_dir)[0]
+
+
+@query
+def review_accounts(spark, sf_dir):
+    """Links below the review threshold with their labels."""
+    return mastering.label(_linked_accounts(spark, sf_dir)[0], ["source_file", "id"])
+
+
+@query
+def versioned_set(spark, sf_dir):
+    """Two versions of a set written, the newest one found again and read."""
+    root = scratch_path(spark, "versions")
+    orders = roles.table(spark, sf_dir, "orders").select("o_orderkey", "o_orderstatus")
+    for status in ("F", "O"):
+        target = writers.next_version(spark, root, "Orders ")
+        writers.write_set({"orders": orders.where(F.col("o_orderstatus") == status)}, target)
+    newest = readers.latest_versioned(spark, root, "Orders ")
+    return writers.read_set(spark, newest, "orders")["orders"]
+
+
+@query
+def by_group_size(spark, sf_dir):
+    return linkage.by_group_size(roles.clustered(spark, sf_dir).select("record_number", "cluster_id"), "cluster_id")
+
+
 # --- review -------------------------------------------------------------------
 
 
@@ -589,4 +630,4 @@ def stream_intake(spark, sf_dir):
         roles.as_extract(arriving), lambda _: roles.master(spark, sf_dir), sink, checkpoint, "q_id"
     )
     running.awaitTermination()
-    return spark.read.parquet(sink).drop("batch_id")
+    return stream.accepted(spark, sink, roles.extract(spark, sf_dir).schema)

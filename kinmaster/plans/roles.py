@@ -138,3 +138,33 @@ def customers(spark: SparkSession, sf_dir: str) -> DataFrame:
         "     WHEN c_mktsegment <> 'MACHINERY' THEN cast(c_custkey * 1001 AS string) END AS zip",
         "concat(' ', lower(c_mktsegment), ' ') AS record_type",
     )
+
+
+def _spelt(number: str) -> str:
+    """A name from a number, a letter per digit."""
+    return f"initcap(translate(cast(1000 + {number} AS string), '0123456789', 'aeioubdflm'))"
+
+
+def accounts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Customers as accounts: three spellings of a name, moved addresses, missing zips."""
+    return table(spark, sf_dir, "customer").selectExpr(
+        "c_custkey AS id",
+        f"concat({_spelt('c_custkey div 3')}, CASE c_custkey % 3 WHEN 0 THEN ' Medical Supply' WHEN 1 THEN ' Medical Suply' ELSE ' Clinic' END) AS name",
+        "CASE WHEN c_mktsegment = 'BUILDING' THEN concat(c_custkey, ' Ocean Avenue')"
+        "     ELSE concat(100 + c_custkey div 3, CASE WHEN c_acctbal < 2000 THEN ' Main Street' ELSE ' Main St.' END) END AS address",
+        "concat('Town ', c_custkey div 30) AS city",
+        "concat('S', c_nationkey) AS state",
+        "CASE WHEN c_mktsegment <> 'HOUSEHOLD' THEN cast(c_custkey div 3 AS string) END AS zip",
+    )
+
+
+def crm_accounts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Suppliers as the accounts of the second dataset, at names or addresses of the first."""
+    return table(spark, sf_dir, "supplier").selectExpr(
+        "s_suppkey AS id",
+        f"CASE WHEN s_suppkey % 4 = 3 THEN concat('Other ', {_spelt('s_suppkey * 7')}) ELSE concat({_spelt('s_suppkey')}, ' Medical Supply') END AS name",
+        "CASE WHEN s_suppkey % 4 = 2 THEN concat(s_suppkey, ' Hill Road, Rear') ELSE concat(100 + s_suppkey, ' Main Street') END AS address",
+        "concat('Town ', s_suppkey div 10) AS city",
+        "concat('S', s_nationkey) AS state",
+        "CASE WHEN s_suppkey % 5 > 0 THEN cast(s_suppkey AS string) END AS zip",
+    )

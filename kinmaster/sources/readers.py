@@ -10,19 +10,35 @@ from kinmaster.functions.text import version_of, version_parts
 
 
 def list_files(spark: SparkSession, root: str, prefix: str = "", modified_after: str | None = None) -> DataFrame:
-    """Files below ``root`` whose name starts with ``prefix``; contents are not read."""
-    reader = (
-        spark.read.format("binaryFile")
-        .option("recursiveFileLookup", "true")
-        .option("pathGlobFilter", f"{prefix}*")
-    )
+    """Tables below ``root`` whose name starts with ``prefix``: files, or folders of part files.
+
+    A table is the first level on the way down that has the prefix. A folder
+    counts with the time of its newest part and the length of all of them.
+    Contents are not read.
+    """
+    reader = spark.read.format("binaryFile").option("recursiveFileLookup", "true")
     if modified_after:
         reader = reader.option("modifiedAfter", modified_after)
-    files = reader.load(root).select("path", "modificationTime", "length")
+    parts = reader.load(root).select("path", "modificationTime", "length")
+    base = _qualified(spark, root)
+    below = F.split(F.substring(F.col("path"), F.lit(len(base) + 2), F.length("path")), "/")
+    named = F.transform(below, lambda name: name.startswith(prefix) & ~name.rlike("^[._]"))
+    level = F.array_position(named, True).cast("int")
+    tables = parts.where(level > 0).select(
+        F.concat_ws("/", F.lit(base), F.array_join(F.slice(below, F.lit(1), level), "/")).alias("path"), "modificationTime", "length"
+    )
+    files = tables.groupBy("path").agg(F.max("modificationTime").alias("modificationTime"), F.sum("length").alias("length"))
     major, minor = version_parts(F.col("path"))
     return files.withColumns({"major": major, "minor": minor, "version": version_of(F.col("path"))})
 
 
+def _qualified(spark: SparkSession, root: str) -> str:
+    """``root`` as Spark writes it in paths of files, without a slash at the end."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(root)
+    system = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return system.makeQualified(path).toString().rstrip("/")
+
+
 def _newest(files: DataFrame, order, root: str, prefix: str) -> str:
     path = files.agg(F.max_by("path", order).alias("path")).first()["path"]
     if path is None:

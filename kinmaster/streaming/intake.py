@@ -18,11 +18,15 @@ POLL_INTERVAL = "5 seconds"
 def stream_files(
     spark: SparkSession, path: str, prefix: str, schema: T.StructType, file_format: str = "csv", suffix: str = "*",
 ) -> DataFrame:
-    """A stream of the rows of new files whose name starts with ``prefix``."""
-    reader = spark.readStream.schema(schema).option("pathGlobFilter", f"{prefix}{suffix}")
+    """A stream of the rows of new tables whose name starts with ``prefix``.
+
+    A table is a file in ``path`` or a folder of part files there. All are read
+    through one glob over both levels, so a folder's parts count as they arrive.
+    """
+    reader = spark.readStream.schema(schema)
     if file_format == "csv":
         reader = reader.option("header", True)
-    return reader.format(file_format).load(path)
+    return reader.format(file_format).load(f"{path.rstrip('/')}/{prefix}{suffix}")
 
 
 def first_of_each_key(stream: DataFrame, key: str, event_time: str, delay: str, mode: str = "compat") -> DataFrame:
@@ -62,6 +66,11 @@ def stream_intake(
     return writer.trigger(**trigger).start()
 
 
+def accepted(spark: SparkSession, sink: str, schema: T.StructType) -> DataFrame:
+    """All rows written to the sink; none, with the schema, if nothing has arrived yet."""
+    return accepted_before(spark, sink, 1 << 62, schema)
+
+
 def accepted_before(spark: SparkSession, sink: str, batch_id: int, schema: T.StructType) -> DataFrame:
     """Rows the batches before ``batch_id`` wrote to the sink."""
     empty = spark.createDataFrame([], schema)
