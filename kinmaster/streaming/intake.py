@@ -20,13 +20,18 @@ def stream_files(
 ) -> DataFrame:
     """A stream of the rows of new tables whose name starts with ``prefix``.
 
-    A table is a file in ``path`` or a folder of part files there. All are read
-    through one glob over both levels, so a folder's parts count as they arrive.
+    A table is a file in ``path``, or a folder of part files there: if there are
+    such folders when the stream begins, it reads the part files that arrive in them.
     """
+    context = spark.sparkContext
+    glob = context._jvm.org.apache.hadoop.fs.Path(f"{path.rstrip('/')}/{prefix}{suffix}")
+    found = glob.getFileSystem(context._jsc.hadoopConfiguration()).globStatus(glob) or []
     reader = spark.readStream.schema(schema)
     if file_format == "csv":
         reader = reader.option("header", True)
-    return reader.format(file_format).load(f"{path.rstrip('/')}/{prefix}{suffix}")
+    if any(status.isDirectory() for status in found):
+        return reader.format(file_format).load(glob.toString())
+    return reader.option("pathGlobFilter", f"{prefix}{suffix}").format(file_format).load(path)
 
 
 def first_of_each_key(stream: DataFrame, key: str, event_time: str, delay: str, mode: str = "compat") -> DataFrame:

@@ -79,3 +79,19 @@ def test_repeats_within_the_delay_are_dropped(spark, tmp_path):
     )
     query.awaitTermination()
     assert sorted(r["q_id"] for r in spark.table("seen").collect()) == ["A", "B"]
+
+
+def test_folder_tables_stream_like_files(spark, tmp_path):
+    """A table of part files gives the rows that the table as one file gives."""
+    orders = spark.read.parquet("/root/testdata/sf0.001/orders.parquet")
+    orders.repartition(3).write.parquet(f"{tmp_path}/in/orders.parquet")
+    arriving = stream.stream_files(spark, f"{tmp_path}/in", "orders", orders.schema, "parquet", ".parquet")
+    master = spark.createDataFrame([], "o_orderkey string")
+    keyed = arriving.selectExpr("cast(o_orderkey AS string) AS o_orderkey")
+    stream.stream_intake(keyed, lambda _: master, f"{tmp_path}/out", f"{tmp_path}/check", "o_orderkey").awaitTermination()
+    assert stream.accepted(spark, f"{tmp_path}/out", keyed.schema).count() == orders.count()
+
+
+def test_nothing_arrived_is_an_empty_frame(spark, tmp_path):
+    schema = spark.createDataFrame([], "a string").schema
+    assert stream.accepted(spark, f"{tmp_path}/none", schema).count() == 0
