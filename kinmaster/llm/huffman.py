@@ -33,21 +33,33 @@ MAX_BITS = 16
 TOKENIZER = "byte_bpe_50k.json"
 # Documents whose ids are coded as one row of a part: about so many ids.
 ROW_IDS = 1 << 19
-# Token ids of this many distinct pieces of text are remembered by a task.
-REMEMBERED = 900_000
+# Token ids of this many distinct pieces of text, and of as many older ones, are remembered by a Python worker.
+REMEMBERED = 700_000
 ROWS_AT_ONCE = 400
 
 
 class _Known(dict):
-    """Ids by piece; a piece that is missing is noted and stands for nothing until it is filled in."""
+    """Ids by piece; a piece that is missing is noted and stands for nothing until it is filled in.
+
+    When it is full it becomes the older half and begins anew; pieces seen again are taken from there.
+    """
 
     def __init__(self) -> None:
         super().__init__()
         self.missing: set[str] = set()
+        self.older: dict[str, bytes] = {}
 
     def __missing__(self, piece: str) -> bytes:
-        self.missing.add(piece)
-        return b""
+        ids = self.older.get(piece)
+        if ids is None:
+            self.missing.add(piece)
+            return b""
+        self[piece] = ids
+        return ids
+
+    def turn(self) -> None:
+        self.older = dict(self)
+        self.clear()
 
 
 class PieceEncoder:
@@ -108,7 +120,7 @@ class PieceEncoder:
         if not self.by_piece:
             return self._encode([t or "" for t in texts])
         if len(self.known) > REMEMBERED:
-            self.known.clear()
+            self.known.turn()
         pieces = [_pieces(t or "") for t in texts]
         get = self.known.__getitem__
         deque(map(get, chain.from_iterable(pieces)), maxlen=0)
