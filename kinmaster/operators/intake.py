@@ -233,10 +233,18 @@ def append_logbook(
     renames: dict[str, str] | None = None,
 ) -> DataFrame:
     """Master rows, then new rows of the split source, then the other new rows,
-    with a flag for new rows and dense record numbers as the first column."""
+    with a flag for new rows and dense record numbers as the first column.
+
+    Where the master's rows have a ``record_number`` they keep it, and new rows
+    are counted on from the highest."""
     new = new_records(extract, master, key, mode).withColumn(
         "__block", F.when(is_source(source_column, split_value), F.lit(1)).otherwise(F.lit(2))
     )
+    if "record_number" in master.columns:
+        last = master.agg(F.coalesce(F.max("record_number"), F.lit(0))).first()[0]
+        fresh = dense_number(with_constant(new, "new_account", True), ["__block", *order], "record_number", last + 1)
+        kept = with_constant(_keyed(master, key, mode), "new_account", False)
+        return rename(to_front(union_all(kept, fresh.drop("__block")), ["record_number"]), renames or {})
     old = with_constant(_keyed(master, key, mode), "__block", 0)
     both = union_all(
         with_constant(old, "new_account", False), with_constant(new, "new_account", True)

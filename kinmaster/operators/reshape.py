@@ -9,6 +9,8 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from kinmaster.session import materialise
+
 
 def _ref(name: str):
     return F.col("`" + name.replace("`", "``") + "`")
@@ -57,8 +59,13 @@ def empty_columns(df: DataFrame) -> list[str]:
 
 
 def drop_empty_columns(df: DataFrame) -> DataFrame:
-    """Drop columns that are entirely missing (which columns remain needs a job)."""
-    return df.drop(*empty_columns(df))
+    """Drop columns that are entirely missing.
+
+    Which columns remain needs a job, so the rows are written first and not worked out twice.
+    """
+    typed = df.drop(*[f.name for f in df.schema.fields if f.dataType.simpleString() == "void"])
+    stored = materialise(typed, "wide")
+    return stored.drop(*empty_columns(stored))
 
 
 def align_columns(df: DataFrame, predefined: Sequence[str], exclude: Sequence[str] = ()) -> DataFrame:

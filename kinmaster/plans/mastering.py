@@ -14,7 +14,7 @@ from kinmaster.operators.blocking import account_rules
 from kinmaster.operators.records import prepare_records
 from kinmaster.operators.reshape import rename
 from kinmaster.schema import ACCOUNT_FIELDS, FieldSpec
-from kinmaster.session import materialise
+from kinmaster.session import materialise, spread
 
 # Records are compared if they share a key of a rule; the score alone decides then.
 # A token similarity may be set to compare fewer of very large inputs.
@@ -47,7 +47,7 @@ def dedupe(
     threshold: float = S.DEDUPE_THRESHOLD,
 ) -> DataFrame:
     """Accounts with ``cluster_id`` and ``confidence_score`` in front."""
-    records = prepare_records(clean_for_dedupe(accounts, fields), record_id, fields, rules or account_rules())
+    records = prepare_records(clean_for_dedupe(spread(accounts), fields), record_id, fields, rules or account_rules())
     clusters, reps, copies = clustering.cluster_records(records, fields, similarity, threshold)
     clusters = materialise(clusters, "clusters")
     confidence = clustering.representative_confidence(clusters, reps, copies, fields)
@@ -68,8 +68,8 @@ def link(
     if quality_gate:
         usable_right, _ = quality.split_quality(usable_right)
     rules = rules or account_rules()
-    a = prepare_records(clean_for_linkage(quality.exclude_type(left), fields, comma), left_id, fields, rules)
-    b = prepare_records(clean_for_linkage(usable_right, fields, comma), right_id, fields, rules)
+    a = prepare_records(clean_for_linkage(spread(quality.exclude_type(left)), fields, comma), left_id, fields, rules)
+    b = prepare_records(clean_for_linkage(spread(usable_right), fields, comma), right_id, fields, rules)
     links = materialise(linkage.link_records(a, b, fields, similarity, threshold), "links")
     linked = materialise(linkage.link_output(left, right, links, left_id, right_id), "linked")
     return linked, linkage.pair_horizontal(linked)

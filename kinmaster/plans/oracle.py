@@ -505,7 +505,7 @@ labelled AS MATERIALIZED (
 _WIDE = ("id", "name", "address", "city", "state", "zip", "q_id", "source", "source_file", "link_score")
 
 _CURVE = f"""{_PAIR_FEATURES},
-counts AS (SELECT floor(score * 100) / 100 AS threshold, count(*) AS n, sum(same_state::INT) AS m FROM scored GROUP BY 1),
+counts AS (SELECT round(score, 6) AS threshold, count(*) AS n, sum(same_state::INT) AS m FROM scored GROUP BY 1),
 sums AS (SELECT threshold, sum(n) OVER (ORDER BY threshold DESC) AS selected,
                 sum(m) OVER (ORDER BY threshold DESC) AS hits, sum(m) OVER () AS matches FROM counts),
 pr AS (SELECT threshold, hits, hits / selected AS p, CASE WHEN matches > 0 THEN hits / matches ELSE 0 END AS r FROM sums),

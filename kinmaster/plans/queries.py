@@ -33,7 +33,7 @@ from kinmaster.operators import (
 from kinmaster.operators.joins import join_back
 from kinmaster.plans import mastering, roles
 from kinmaster.schema import ACCOUNT_FIELDS
-from kinmaster.session import materialise, scratch_path
+from kinmaster.session import materialise, scratch_path, spread
 from kinmaster.sources import readers, writers
 from kinmaster.streaming import intake as stream
 
@@ -213,12 +213,12 @@ def latest_file(spark, sf_dir):
 
 @query
 def normalise_text_values(spark, sf_dir):
-    return roles.table(spark, sf_dir, "documents").select("doc_id", normalise_text(F.col("text")).alias("text"))
+    return spread(roles.table(spark, sf_dir, "documents")).select("doc_id", normalise_text(F.col("text")).alias("text"))
 
 
 @query
 def normalise_link_text_values(spark, sf_dir):
-    return roles.table(spark, sf_dir, "documents").select(
+    return spread(roles.table(spark, sf_dir, "documents")).select(
         "doc_id",
         normalise_link_text(F.col("text")).alias("spaced"),
         normalise_link_text(F.col("text"), comma="").alias("removed"),

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from kinmaster.functions.text import normalise_link_text
 from kinmaster.operators import blocking
 from kinmaster.schema import FieldSpec
+from kinmaster.session import spread
 
 SPLIT_VALUE = "1-URGENT"
 
@@ -82,7 +83,7 @@ def codes(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents with cleaned whole text; ``es`` plays a missing language."""
-    return table(spark, sf_dir, "documents").select(
+    return spread(table(spark, sf_dir, "documents")).select(
         "doc_id",
         normalise_link_text(F.col("text")).alias("text"),
         F.when(F.col("lang") != "es", F.col("lang")).alias("lang"),

@@ -10,7 +10,7 @@ from pyspark.sql.streaming import StreamingQuery
 from kinmaster.plans.mastering import canonical, master_accounts
 from kinmaster.sources.writers import write_set
 
-ADDED = ("record_number", "cluster_id", "confidence_score", "net_new", "new_account")
+ADDED = ("cluster_id", "confidence_score", "net_new", "new_account")
 
 
 def _batches(spark: SparkSession, sink: str) -> list[int]:
