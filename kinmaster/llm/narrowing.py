@@ -12,26 +12,31 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from kinmaster.operators.clustering import connected_components
 from kinmaster.operators.joins import join_back
 from kinmaster.session import materialise
 
-HUB_ROUNDS = 3
+HUB_ROUNDS = 4
 
 
-def with_hub(lists: DataFrame, salt: int) -> DataFrame:
-    """(left_id, right_id): each list's hub with its other members, distinct.
+def with_hub(lists: DataFrame, salt: int, ratio: float) -> DataFrame:
+    """(left_id, right_id): each list's hub with its other members of fitting size, distinct.
 
-    The hub is drawn by a hash of list and node, so different lists of one
-    family have different hubs.
+    The hub is drawn by a hash of the node, so the many lists of one family
+    have few hubs, others in each round.
     """
-    draw = F.xxhash64("node", "key", F.lit(salt))
-    hubs = lists.groupBy("key").agg(F.min_by("node", F.struct(draw.alias("d"), F.col("node"))).alias("hub"))
-    pairs = join_back(lists, hubs, "key", "key").where("hub <> node")
-    return _ordered(pairs.select(F.col("hub").alias("a"), F.col("node").alias("b")))
+    draw = F.struct(F.xxhash64("node", F.lit(salt)).alias("d"), F.col("node"))
+    hubs = lists.groupBy("key").agg(F.min_by(F.struct("node", "size"), draw).alias("hub"))
+    pairs = join_back(lists, hubs, "key", "key").where((F.col("hub.node") != F.col("node")) & _fits("hub.size", "size", ratio))
+    return _ordered(pairs.select(F.col("hub.node").alias("a"), F.col("node").alias("b")))
+
+
+def _fits(a: str, b: str, ratio: float) -> Column:
+    """Sets of sizes further apart than ``ratio`` cannot be similar."""
+    return F.least(a, b) >= F.lit(ratio) * F.greatest(a, b) - 1e-9
 
 
 def _ordered(pairs: DataFrame) -> DataFrame:
@@ -40,7 +45,7 @@ def _ordered(pairs: DataFrame) -> DataFrame:
 
 def _divided(lists: DataFrame, components: DataFrame) -> DataFrame:
     """Members of lists in several components, with their component and the list's main one."""
-    placed = lists.join(components, F.col("node") == F.col("record_id")).select("key", "node", "component")
+    placed = lists.join(components, F.col("node") == F.col("record_id")).select("key", "node", "size", "component")
     main = (
         placed.groupBy("key", "component").agg(F.count(F.lit(1)).alias("n"))
         .groupBy("key").agg(F.max_by("component", F.struct("n", "component")).alias("main"), F.count(F.lit(1)).alias("parts"))
@@ -49,25 +54,32 @@ def _divided(lists: DataFrame, components: DataFrame) -> DataFrame:
     return join_back(placed, main, "key", "key")
 
 
-def component_links(lists: DataFrame, confirm: Callable[[DataFrame], DataFrame], rounds: int = HUB_ROUNDS) -> DataFrame:
+def component_links(
+    lists: DataFrame, confirm: Callable[[DataFrame], DataFrame], ratio: float = 0.0, rounds: int = HUB_ROUNDS
+) -> DataFrame:
     """Confirmed (left_id, right_id) with the same components as all confirmed pairs of a list.
 
-    ``lists`` has rows (key, node), distinct; ``confirm`` keeps those of the
-    pairs it is given that are links. Lists of one node make no pairs.
+    ``lists`` has rows (key, node, size), distinct; ``confirm`` keeps those of the
+    pairs it is given that are links, which never have sizes further apart than
+    ``ratio``. Lists of one node make no pairs.
     """
     spark = lists.sparkSession
     links = spark.createDataFrame([], "left_id bigint, right_id bigint")
     nodes = lists.select(F.col("node").alias("record_id")).distinct()
     rest = lists
     for salt in range(rounds):
-        found = materialise(confirm(with_hub(rest.select("key", "node"), salt)).select("left_id", "right_id"), "links")
+        found = materialise(confirm(with_hub(rest.select("key", "node", "size"), salt, ratio)).select("left_id", "right_id"), "links")
         links = materialise(links.union(found).distinct(), "links") if salt else found
         components = materialise(connected_components(nodes, links), "components")
-        rest = materialise(_divided(rest.select("key", "node"), components), "divided")
+        rest = materialise(_divided(rest.select("key", "node", "size"), components), "divided")
         if rest.isEmpty():
             return links
-    # What is outside its list's main component, with everyone of the list in another one.
-    outside = rest.where("component <> main").select(F.col("key").alias("k"), F.col("node").alias("a"), F.col("component").alias("ca"))
-    pairs = outside.join(rest, (F.col("k") == F.col("key")) & (F.col("ca") != F.col("component"))).select("a", F.col("node").alias("b"))
+    # What is outside its list's main component, with everyone of the list in another one; two outside meet once.
+    outside = rest.where("component <> main").select(
+        F.col("key").alias("k"), F.col("node").alias("a"), F.col("size").alias("own_size"), F.col("component").alias("own")
+    )
+    once = (F.col("component") == F.col("main")) | (F.col("a") < F.col("node"))
+    apart = (F.col("k") == F.col("key")) & (F.col("own") != F.col("component")) & once & _fits("own_size", "size", ratio)
+    pairs = outside.join(rest, apart).select("a", F.col("node").alias("b"))
     more = confirm(_ordered(pairs)).select("left_id", "right_id")
     return materialise(links.union(more).distinct(), "links")

@@ -104,19 +104,21 @@ def whole_sets(docs: DataFrame, shingle: int, id_col: str, text_col: str) -> Dat
 
 
 def posting_lists(signed: DataFrame, coordinates: int = COORDINATES, matches: int = MATCHES) -> DataFrame:
-    """(key, node) for the prefix of each signature, lists of at least two nodes.
+    """(key, node, size) for the prefix of each signature, lists of at least two nodes.
 
-    ``signed`` has ``node`` and ``signature``. Values that nobody else has come first
+    ``signed`` has ``node``, ``size`` and ``signature``. Values that nobody else has come first
     in a node's order, so a node with enough of them is in no list at all.
     """
+    sizes = signed.select(F.col("node").alias("sized"), "size")
     values = signed.select("node", F.posexplode("signature").alias("at", "value"))
     posted = values.select("node", F.xxhash64("at", "value").alias("key"))
     shared = posted.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
     found = join_back(posted, shared, "key", "key")
     by_node = found.groupBy("node").agg(F.sort_array(F.collect_list(F.struct("n", "key"))).alias("entries"))
     keep = coordinates - matches + 1 - (coordinates - F.size("entries"))
-    prefix = by_node.where(keep > 0).select("node", F.explode(F.slice("entries", F.lit(1), keep)).alias("entry"))
-    return prefix.select(F.col("entry.key").alias("key"), "node")
+    few = by_node.where(keep > 0).join(sizes, F.col("node") == F.col("sized"))
+    prefix = few.select("node", "size", F.explode(F.slice("entries", F.lit(1), keep)).alias("entry"))
+    return prefix.select(F.col("entry.key").alias("key"), "node", "size")
 
 
 def near_duplicates(
@@ -140,7 +142,7 @@ def near_duplicates(
     nodes = materialise(
         linkable.groupBy(*sets).agg(F.min("doc_id").alias("node"), F.first("signature").alias("signature")), "nodes"
     )
-    lists = materialise(posting_lists(nodes.select("node", "signature"), coordinates, matches), "lists")
+    lists = materialise(posting_lists(nodes.select("node", F.col("n_shingles").alias("size"), "signature"), coordinates, matches), "lists")
     wanted = lists.select("node").distinct()
     texts = docs.join(wanted, F.col(id_col).cast("bigint") == F.col("node"), "left_semi")
     read = whole_sets(texts, shingle, id_col, text_col)
@@ -166,7 +168,7 @@ def near_duplicates(
         union = F.size("left_shingles") + F.size("right_shingles") - common
         return both.where(100 * common >= round(100 * similarity) * union).select("left_id", "right_id")
 
-    links = component_links(lists, confirm)
+    links = component_links(lists, confirm, similarity)
     named = nodes.select(*[F.col(c).alias(f"node_{c}") for c in sets], F.col("node").alias("record_id"))
     # Sets of one id (repeated ids) are one document: they share a node.
     components = connected_components(links.select(F.explode(F.array("left_id", "right_id")).alias("record_id")).distinct(), links)
