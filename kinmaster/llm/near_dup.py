@@ -24,7 +24,7 @@ from kinmaster.session import materialise
 
 SHINGLE = 5
 SIMILARITY = 0.8
-# At a similarity of 0.8, 36 of 64 coordinates agree but for about 6 of a million pairs; the
+# At a similarity of 0.8, 36 of 64 coordinates agree but for about 4 of a million pairs; the
 # chance of a miss falls quickly above that.
 COORDINATES = 64
 MATCHES = 36
