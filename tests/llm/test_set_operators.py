@@ -220,6 +220,17 @@ def test_line_dedup(spark):
     assert line_dedup.dedup_lines(df.limit(0)).count() == 0
 
 
+def test_line_dedup_tells_rows_of_one_id_apart(spark):
+    rng = random.Random(14)
+    words = [f"w{i}".translate(str.maketrans("0123456789", "abcdefghij")) for i in range(3000)]
+    a, b, c, d = (" ".join(rng.choices(words, k=30)) for _ in range(4))
+    for i in (None, 7):
+        docs = [(i, f"{a}\n{b}"), (i, f"{a}\n{b}"), (i, f"{c}\n{a}"), (i, f"x\n{d}")]
+        got = sorted(r["clean_text"] for r in line_dedup.dedup_lines(spark.createDataFrame(docs, "doc_id long, text string")).collect())
+        assert len(got) == 4 and sum(t.count(a) for t in got) == 1 and sum(t.count(b) for t in got) == 1
+        assert sum(t.count(c) for t in got) == 1 and f"x\n{d}" in got
+
+
 def test_simhash_and_blocks(spark):
     df = spark.createDataFrame([(0, "a b c"), (1, "a b d"), (2, ""), (3, "a " * 70000)], "i long, norm string")
     out = [r["simhash"] for r in line_dedup.simhash(df, ["i"]).orderBy("i").collect()]
