@@ -1,5 +1,6 @@
 """Token file, decontamination, near duplicates, mixing, lines and neighbours: brute force and edge cases."""
 
+import hashlib
 import itertools
 import random
 import re
@@ -231,6 +232,15 @@ def test_line_dedup_tells_rows_of_one_id_apart(spark):
         assert sum(t.count(c) for t in got) == 1 and f"x\n{d}" in got
 
 
+def test_op10_takes_lines_of_any_length(spark, tmp_path):
+    thai, han = "\u0e2a\u0e27\u0e31\u0e2a\u0e14\u0e35\u0e04\u0e23\u0e31\u0e1a" * 4, "\u4eca\u65e5\u306f\u3068\u3066\u3082\u826f\u3044\u5929\u6c17\u3067\u3059\u306d" * 3
+    docs = [(1, f"one\n\nshort line\n{thai}\n***\n{han}"), (2, f"two\n\nShort line!\n{thai}\n***\n---\n{han}")]
+    spark.createDataFrame(docs, "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    got = {r["doc_id"]: r for r in line_dedup.op10_line_dedup(spark, str(tmp_path)).collect()}
+    assert got[1]["n_removed"] == 0 and got[2]["n_removed"] == 4
+    assert got[2]["clean_md5"] == hashlib.md5(b"two\n\n---").hexdigest()
+
+
 def test_simhash_and_blocks(spark):
     df = spark.createDataFrame([(0, "a b c"), (1, "a b d"), (2, ""), (3, "a " * 70000)], "i long, norm string")
     out = [r["simhash"] for r in line_dedup.simhash(df, ["i"]).orderBy("i").collect()]
