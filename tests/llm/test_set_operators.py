@@ -259,6 +259,14 @@ def test_simhash_and_blocks(spark):
     assert keys.where("n = 0").count() == 0
 
 
+def test_every_word_of_a_long_line_votes(spark):
+    rng = random.Random(15)
+    words = [rng.choice("abcdefgh") + str(rng.randrange(500)) for _ in range(40_000)]
+    df = spark.createDataFrame([(0, " ".join(words)), (1, " ".join(["first", *words]))], "i long, norm string")
+    a, b = (r["simhash"] for r in line_dedup.simhash(df, ["i"]).orderBy("i").collect())
+    assert bin((a ^ b) & ((1 << 64) - 1)).count("1") <= 3
+
+
 def test_exact_repeats_equal_brute_force(spark):
     docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("doc_id", "text").collect()
     df = spark.createDataFrame(docs)
