@@ -267,6 +267,36 @@ def test_every_word_of_a_long_line_votes(spark):
     assert bin((a ^ b) & ((1 << 64) - 1)).count("1") <= 3
 
 
+def typo_lines(rng, n, changed, trials):
+    """Pairs of lines of ``n`` words, of which ``changed`` have one letter replaced in the second."""
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    for _ in range(trials):
+        words = ["".join(rng.choices(letters, k=rng.randint(2, 9))) for _ in range(n)]
+        other = list(words)
+        for i in rng.sample(range(n), changed):
+            at = rng.randrange(len(words[i]))
+            other[i] = words[i][:at] + rng.choice(letters.replace(words[i][at], "")) + words[i][at + 1:]
+        yield " ".join(words), " ".join(other)
+
+
+def share_that_meets(spark, pairs):
+    rows = [(2 * i + side, line) for i, pair in enumerate(pairs) for side, line in enumerate(pair)]
+    keys = line_dedup.line_keys(spark.createDataFrame(rows, "line_hash long, norm string"))
+    met = keys.groupBy(F.floor(F.col("node") / 2).alias("pair"), "key").count().where("count > 1").select("pair").distinct().count()
+    return met / len(pairs)
+
+
+@pytest.mark.parametrize(("n", "changed", "least"), [(5, 1, 0.95), (10, 1, 0.98), (20, 1, 0.99), (30, 1, 0.99), (60, 1, 0.99), (100, 1, 0.99), (30, 3, 0.95), (100, 10, 0.95)])
+def test_lines_with_typos_meet(spark, n, changed, least):
+    assert share_that_meets(spark, list(typo_lines(random.Random(n), n, changed, 400))) >= least
+
+
+def test_lines_without_blanks_meet(spark):
+    rng = random.Random(16)
+    lines = ["".join(chr(0x4E00 + rng.randrange(3000)) for _ in range(80)) for _ in range(200)]
+    assert share_that_meets(spark, [(x, x[:40] + chr(0x3042) + x[41:]) for x in lines]) >= 0.99
+
+
 def test_exact_repeats_equal_brute_force(spark):
     docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("doc_id", "text").collect()
     df = spark.createDataFrame(docs)
