@@ -2,7 +2,19 @@
 
 from __future__ import annotations
 
-from kinmaster.llm import decontaminate, huffman, language, line_dedup, mixing, near_dup, neighbours, pii, secret_scan, url_rules
+from kinmaster.llm import (
+    decontaminate,
+    huffman,
+    language,
+    line_dedup,
+    mixing,
+    near_dup,
+    neighbours,
+    pii,
+    secret_scan,
+    url_rules,
+    warc,
+)
 
 REGISTRY = {
     "op1_huffman": huffman.op1_huffman,
@@ -15,9 +27,11 @@ REGISTRY = {
     "op8_near_dup": near_dup.op8_near_dup,
     "op9_mix": mixing.op9_mix,
     "op10_line_dedup": line_dedup.op10_line_dedup,
+    "op11_warc": warc.op11_warc,
 }
 
 ORACLE = {
     "op3_url_rules": url_rules.OP3_SQL,
     "op9_mix": mixing.OP9_SQL,
+    "op11_warc": warc.OP11_SQL,
 }
