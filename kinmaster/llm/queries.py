@@ -10,6 +10,7 @@ from kinmaster.llm import (
     mixing,
     near_dup,
     neighbours,
+    phrases,
     pii,
     secret_scan,
     url_rules,
@@ -28,10 +29,12 @@ REGISTRY = {
     "op9_mix": mixing.op9_mix,
     "op10_line_dedup": line_dedup.op10_line_dedup,
     "op11_warc": warc.op11_warc,
+    "op12_phrases": phrases.op12_phrases,
 }
 
 ORACLE = {
     "op3_url_rules": url_rules.OP3_SQL,
     "op9_mix": mixing.OP9_SQL,
     "op11_warc": warc.OP11_SQL,
+    "op12_phrases": phrases.OP12_SQL,
 }
