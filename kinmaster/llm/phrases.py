@@ -390,29 +390,29 @@ WITH pieces AS (
 ), w AS (
   SELECT lang, list_filter(regexp_split_to_array(piece, '[ \t]+'), lambda x: x <> '') AS w FROM pieces
 ), grams AS (
-  SELECT lang, m, unnest(list_transform(range(1, len(w) - m + 2), lambda i: w[i:i + m - 1])) AS p FROM w, (SELECT unnest(range(1, 6)) AS m)
-), f AS (
+  SELECT lang, m, unnest(list_transform(range(1, len(w) - m + 2), lambda i: array_to_string(w[i:i + m - 1], ' '))) AS p
+  FROM w, (SELECT unnest(range(1, 6)) AS m)
+), f AS MATERIALIZED (
   SELECT lang, m, p, count(*) AS f FROM grams GROUP BY ALL
-), n AS (
+), n AS MATERIALIZED (
   SELECT lang, sum(f) AS n FROM f WHERE m = 1 GROUP BY lang
-), c AS (
-  SELECT lang, m, p, f AS a FROM f WHERE m > 1 AND f >= 100
-), cuts AS (
-  SELECT c.*, k FROM c, (SELECT unnest(range(1, 5)) AS k) WHERE k < m
+), common AS MATERIALIZED (
+  SELECT * FROM f WHERE f >= 100
+), cuts AS MATERIALIZED (
+  SELECT lang, m, p, f AS a, k, array_to_string(string_split(p, ' ')[1:k], ' ') AS x, array_to_string(string_split(p, ' ')[k + 1:m], ' ') AS y
+  FROM common, (SELECT unnest(range(1, 5)) AS k) WHERE k < m
 ), scores AS (
-  SELECT cuts.lang, cuts.p, m, a, x.f AS l, y.f AS r, n, k, 1000::HUGEINT * a * n // (x.f::HUGEINT * y.f) AS score
-  FROM cuts JOIN n USING (lang)
-  JOIN (SELECT lang, p, f FROM f) x ON x.lang = cuts.lang AND x.p = cuts.p[1:k]
-  JOIN (SELECT lang, p, f FROM f) y ON y.lang = cuts.lang AND y.p = cuts.p[k + 1:m]
+  SELECT cuts.*, x.f AS l, y.f AS r, n, 1000::HUGEINT * a * n // (x.f::HUGEINT * y.f) AS score
+  FROM cuts JOIN n ON n.lang = cuts.lang
+  JOIN common x ON x.lang = cuts.lang AND x.p = cuts.x
+  JOIN common y ON y.lang = cuts.lang AND y.p = cuts.y
 ), best AS (
   SELECT * FROM scores QUALIFY row_number() OVER (PARTITION BY lang, p ORDER BY score, k) = 1
 ), inside AS (
-  SELECT DISTINCT lang, a, unnest([p[1:m - 1], p[2:m]]) AS p FROM c
-), kept AS (
-  SELECT best.* FROM best ANTI JOIN inside ON best.lang = inside.lang AND best.p = inside.p AND best.a = inside.a
-), named AS (
-  SELECT *, array_to_string(p, ' ') AS phrase FROM kept
+  SELECT lang, a, x AS p FROM cuts WHERE k = m - 1 UNION SELECT lang, a, y FROM cuts WHERE k = 1
 )
-SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, encode(phrase)) AS rank, phrase, a, l, r, n::BIGINT AS n, score::BIGINT AS score
-FROM named QUALIFY rank <= 2000
+SELECT best.lang, row_number() OVER (PARTITION BY best.lang ORDER BY score DESC, best.a DESC, encode(best.p)) AS rank, best.p AS phrase, best.a, l, r,
+  n::BIGINT AS n, score::BIGINT AS score
+FROM best ANTI JOIN inside ON best.lang = inside.lang AND best.p = inside.p AND best.a = inside.a
+QUALIFY rank <= 2000
 """
