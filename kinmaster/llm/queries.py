@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from kinmaster.llm import (
     decontaminate,
+    divergence,
     huffman,
     language,
     line_dedup,
@@ -30,6 +31,7 @@ REGISTRY = {
     "op10_line_dedup": line_dedup.op10_line_dedup,
     "op11_warc": warc.op11_warc,
     "op12_phrases": phrases.op12_phrases,
+    "op13_divergence": divergence.op13_divergence,
 }
 
 ORACLE = {
@@ -37,4 +39,5 @@ ORACLE = {
     "op9_mix": mixing.OP9_SQL,
     "op11_warc": warc.OP11_SQL,
     "op12_phrases": phrases.OP12_SQL,
+    "op13_divergence": divergence.OP13_SQL,
 }
