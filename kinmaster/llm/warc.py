@@ -97,7 +97,8 @@ def archive_records(
         rows.where("digest IS NOT NULL").groupBy("digest")
         .agg(F.max("page").alias("stored"), F.count(F.lit(1)).alias("n")).where("n > 1").drop("n")
     )
-    joined = join_back(rows, groups, "digest", "digest", "left")
+    # Written first, so that Spark knows its size: few repeated payloads are broadcast and no page moves.
+    joined = join_back(rows, materialise(groups, "repeated"), "digest", "digest", "left")
     other = F.col("stored").isNotNull() & ~F.col("page").eqNullSafe(F.col("stored"))
     return joined.select(
         F.coalesce(F.col("page").cast("string"), F.lit("")).alias("record_id"), "url", "payload",
