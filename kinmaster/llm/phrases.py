@@ -36,6 +36,8 @@ SHARES = (4096, 64, 1)
 BITMAP_BITS = 24
 CHUNK_WORDS = 2_000_000
 REMEMBERED = 200_000
+# Groups of a length that a task adds up before it tells them.
+HELD_GROUPS = 500_000
 BREAK = b"\xff"
 _PIECES = b".,;:!?\n\x0b\x0c\r"
 _TABLE = bytes(0xFF if c in _PIECES else t for c, t in enumerate(separator_table(b"\t ")))
@@ -191,6 +193,27 @@ def _groups(codes: np.ndarray, at: np.ndarray, hashes: np.ndarray, length: int)
     return order, starts, rows[starts]
 
 
+class _Held:
+    """Groups of one length that a task has found so far: their sums, and extremes of the words around."""
+
+    def __init__(self) -> None:
+        self.rows: np.ndarray | None = None
+        self.sizes = self.around = np.empty(0)
+
+    def add(self, rows: np.ndarray, sizes: np.ndarray, around: np.ndarray) -> None:
+        """``around``: a line each of least and largest words before and after."""
+        if self.rows is not None:
+            rows = np.concatenate((self.rows, rows))
+            sizes = np.concatenate((self.sizes, sizes))
+            around = np.concatenate((self.around, around), axis=1)
+        hashes = rows[:, 0].view(np.uint64)
+        for k in range(1, rows.shape[1]):
+            hashes = longer_hash(hashes, np.ascontiguousarray(rows[:, k]))
+        order, starts, self.rows = _groups(rows.reshape(-1), np.arange(len(rows)) * rows.shape[1], hashes, rows.shape[1])
+        self.sizes = np.add.reduceat(sizes[order], starts)
+        self.around = np.stack([(np.minimum, np.maximum)[i % 2].reduceat(line[order], starts) for i, line in enumerate(around)])
+
+
 def _lists(rows: np.ndarray):
     import pyarrow as pa
 
@@ -241,6 +264,12 @@ def survey(codes: DataFrame, wanted: DataFrame, longest: int, bits: int) -> Data
 
     def take(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         first_words, phrases = shared.value
+        held = [_Held() for _ in range(longest)]
+
+        def tell(k: int) -> pa.RecordBatch:
+            found, held[k] = held[k], _Held()
+            return pa.RecordBatch.from_arrays([_lists(found.rows), pa.array(found.sizes), *map(pa.array, found.around)], ["p", "a", *names])
+
         for v in _flat(batches):
             at = np.flatnonzero((v != 0) & has(first_words, v))
             hashes = v[at].view(np.uint64)
@@ -255,7 +284,10 @@ def survey(codes: DataFrame, wanted: DataFrame, longest: int, bits: int) -> Data
                 place = at[on][order]
                 sizes = np.diff(starts, append=len(place)).astype(np.int64)
                 around = [f.reduceat(v[place + d], starts) for d in (-1, k + 1) for f in (np.minimum, np.maximum)]
-                yield pa.RecordBatch.from_arrays([_lists(rows), pa.array(sizes), *map(pa.array, around)], ["p", "a", *names])
+                held[k].add(rows, sizes, np.stack(around))
+                if len(held[k].sizes) > HELD_GROUPS:
+                    yield tell(k)
+        yield from (tell(k) for k in range(longest) if held[k].rows is not None)
 
     found = codes.mapInArrow(take, "p array<bigint>, a bigint, " + ", ".join(f"{n} bigint" for n in names))
     ends = [(F.min if n.endswith("low") else F.max)(n).alias(n) for n in names]
