@@ -23,6 +23,7 @@ from kinmaster.operators.joins import join_back
 from kinmaster.operators.numbering import dense_number
 from kinmaster.operators.records import collapse_copies
 from kinmaster.operators.reshape import to_front
+from kinmaster.operators.tiles import links_across
 from kinmaster.schema import FieldSpec
 from kinmaster.session import materialise
 
@@ -91,23 +92,22 @@ def _star(groups: DataFrame, key: str, salt: int | None = None) -> DataFrame:
     return pairs.select(F.least("hub", "record_id").alias("left_id"), F.greatest("hub", "record_id").alias("right_id")).distinct()
 
 
-def _narrow(blocks: DataFrame, links: DataFrame, match: Callable[[DataFrame], DataFrame], nodes: DataFrame) -> DataFrame:
+def _narrow(
+    blocks: DataFrame, links: DataFrame, match: Callable[[DataFrame], DataFrame], nodes: DataFrame,
+    records: DataFrame, fields: Sequence[FieldSpec], score: float,
+) -> DataFrame:
     """``links`` and more, until no two records of a block that match are in different components.
 
     ``blocks`` are members of blocks that ``links`` leave in several components.
-    Hubs first; what they leave apart is compared with all of the block's other components.
+    Hubs first; what they leave apart meets the block's other components in chunks,
+    and only a link for each two components that match comes out.
     """
     for salt in range(HUB_ROUNDS):
         links = materialise(links.unionByName(match(_star(blocks.select("key", "record_id"), "key", salt))), "matches")
         blocks = _split(blocks.select("key", "record_id"), "key", materialise(connected_components(nodes, links), "components"))
         if blocks.isEmpty():
             return links
-    outside = blocks.where("component <> main").select(
-        F.col("key").alias("k"), F.col("record_id").alias("a"), F.col("component").alias("own")
-    )
-    pairs = outside.join(blocks, (F.col("k") == F.col("key")) & (F.col("own") != F.col("component")))
-    ordered = pairs.select(F.least("a", "record_id").alias("left_id"), F.greatest("a", "record_id").alias("right_id")).distinct()
-    return links.unionByName(match(ordered))
+    return links.unionByName(match(links_across(blocks, records, fields, score)))
 
 
 def _split(groups: DataFrame, key: str, components: DataFrame) -> DataFrame:
@@ -161,7 +161,7 @@ def spanning_links(
         return links
     group = F.struct("key", "sig", "single").alias("group")
     if not threshold:
-        return _narrow(blocks, links, match, concerned)
+        return _narrow(blocks, links, match, concerned, records, fields, score)
     signed = materialise(
         sign_members(blocks.withColumn("n_tokens", F.lit(0)), records, threshold, frequent).select("*", group), "signatures"
     )
