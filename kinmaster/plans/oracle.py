@@ -538,3 +538,108 @@ QUALIFY row_number() OVER (PARTITION BY left_id, right_id ORDER BY labelled_at D
     "threshold_curve": f"WITH {_CURVE} SELECT * FROM curve",
     "threshold_fbeta": f"WITH {_CURVE} SELECT * FROM curve ORDER BY f_beta DESC, threshold DESC LIMIT 1",
 }
+
+# --- accounts ---------------------------------------------------------------------------
+
+# Values are written out here, so that a change of the library's own shows.
+
+
+def _spelt(number: str) -> str:
+    word = f"translate((1000 + {number})::VARCHAR, '0123456789', 'aeioubdflm')"
+    return f"(upper({word}[1]) || {word}[2:])"
+
+
+ACCOUNTS = f"""accounts AS (
+  SELECT c_custkey AS id,
+         {_spelt('c_custkey // 3')} || CASE c_custkey % 3 WHEN 0 THEN ' Medical Supply' WHEN 1 THEN ' Medical Suply' ELSE ' Clinic' END AS name,
+         CASE WHEN c_mktsegment = 'BUILDING' THEN c_custkey || ' Ocean Avenue'
+              ELSE (100 + c_custkey // 3) || CASE WHEN c_acctbal < 2000 THEN ' Main Street' ELSE ' Main St.' END END AS address,
+         'Town ' || (c_custkey // 30) AS city, 'S' || c_nationkey AS state,
+         CASE WHEN c_mktsegment <> 'HOUSEHOLD' THEN (c_custkey // 3)::VARCHAR END AS zip
+  FROM customer)"""
+
+CRM = f"""crm AS (
+  SELECT s_suppkey AS id,
+         CASE WHEN s_suppkey % 4 = 3 THEN 'Other ' || {_spelt('s_suppkey * 7')} ELSE {_spelt('s_suppkey')} || ' Medical Supply' END AS name,
+         CASE WHEN s_suppkey % 4 = 2 THEN s_suppkey || ' Hill Road, Rear' ELSE (100 + s_suppkey) || ' Main Street' END AS address,
+         'Town ' || (s_suppkey // 10) AS city, 'S' || s_nationkey AS state,
+         CASE WHEN s_suppkey % 5 > 0 THEN s_suppkey::VARCHAR END AS zip
+  FROM supplier)"""
+
+
+def _cleaned(table: str, clean) -> str:
+    """Records with cleaned values; zips have five digits."""
+    columns = ", ".join(f"nullif({clean(c)}, '') AS {c}" for c in ("name", "address", "city", "state"))
+    digits = "CASE WHEN length(zip) < 5 THEN lpad(zip, 5, '0') ELSE zip END"
+    return f"{table}_rec AS MATERIALIZED (SELECT id, {columns}, nullif({clean(digits)}, '') AS zip FROM {table})"
+
+
+def _soundex(word: str) -> str:
+    """First letter and three digits; equal neighbours count once, vowels divide, h and w do not."""
+    codes = f"translate(upper({word}), 'AEIOUYBFPVCGJKQSXZDTLMNRHW', '00000011112222222233455677')"
+    codes = f"replace({codes}, '7', '')"
+    for digit in "0123456":
+        codes = f"regexp_replace({codes}, '{digit}+', '{digit}', 'g')"
+    return f"(upper({word}[1]) || rpad(left(replace({codes}[2:], '0', ''), 3), 3, '0'))"
+
+
+def _account_keys(table: str) -> str:
+    first = "split_part(name, ' ', 1)"
+    rules = (
+        "name", "array_to_string(list_sort(list_distinct(list_filter(string_split(name, ' '), lambda w: w <> ''))), ' ')",
+        "left(name, 5) || '|' || city", f"{_soundex(first)} || '|' || state", "left(zip, 3) || '|' || left(name, 3)", "address",
+    )
+    union = " UNION ALL ".join(f"SELECT id, {i} AS rule, {key} AS key FROM {table}_rec" for i, key in enumerate(rules))
+    return f"{table}_keys AS MATERIALIZED (SELECT * FROM ({union}) WHERE key IS NOT NULL)"
+
+
+def _account_score(a: str = "a", b: str = "b") -> str:
+    """Weighted mean of similarities; a value that is missing leaves its field out, but not the name."""
+    weights = {"name": 0.4, "address": 0.3, "city": 0.1, "state": 0.1, "zip": 0.1}
+    both = {c: f"({a}.{c} IS NOT NULL AND {b}.{c} IS NOT NULL)" for c in weights}
+    alike = {c: f"round(1 - levenshtein({a}.{c}, {b}.{c}) / greatest(length({a}.{c}), length({b}.{c})), 6)" for c in weights}
+    alike["state"] = f"({a}.state = {b}.state)::INT::DOUBLE"
+    gained = " + ".join(f"CASE WHEN {both[c]} THEN {alike[c]} ELSE 0 END * {w}::DOUBLE" for c, w in weights.items())
+    counted = " + ".join(f"{w}::DOUBLE" if c == "name" else f"{w}::DOUBLE * {both[c]}::INT" for c, w in weights.items())
+    return f"round((0.0::DOUBLE + {gained}) / (0.0::DOUBLE + {counted}), 6)"
+
+
+_DEDUPED = f"""{ACCOUNTS}, {_cleaned('accounts', _normalise_text)}, {_account_keys('accounts')},
+met AS (SELECT DISTINCT x.id AS left_id, y.id AS right_id FROM accounts_keys x JOIN accounts_keys y
+        ON x.rule = y.rule AND x.key = y.key AND x.id < y.id),
+links AS MATERIALIZED (SELECT left_id, right_id FROM met JOIN accounts_rec a ON a.id = left_id JOIN accounts_rec b ON b.id = right_id
+         WHERE {_account_score()} >= 0.5),
+steps AS MATERIALIZED (SELECT left_id AS x, right_id AS y FROM links UNION ALL SELECT right_id, left_id FROM links),
+reach(id, other) AS (SELECT id, id FROM accounts UNION SELECT r.id, s.y FROM reach r JOIN steps s ON s.x = r.other),
+clusters AS MATERIALIZED (SELECT id, min(other) AS component FROM reach GROUP BY id)"""
+
+_LINKED = f"""{ACCOUNTS}, {CRM}, {_cleaned('accounts', _normalise_link)}, {_cleaned('crm', _normalise_link)},
+{_account_keys('accounts')}, {_account_keys('crm')},
+met AS (SELECT DISTINCT x.id AS left_id, y.id AS right_id FROM accounts_keys x JOIN crm_keys y ON x.rule = y.rule AND x.key = y.key),
+scored AS MATERIALIZED (SELECT left_id, right_id, {_account_score()} AS score
+           FROM met JOIN accounts_rec a ON a.id = left_id JOIN crm_rec b ON b.id = right_id),
+best AS MATERIALIZED (SELECT * FROM scored WHERE score >= 0.1
+  QUALIFY row_number() OVER (PARTITION BY left_id ORDER BY score DESC, right_id) = 1),
+numbered AS MATERIALIZED (SELECT *, row_number() OVER (ORDER BY left_id) - 1 AS cluster_id FROM best),
+chosen AS (SELECT * FROM numbered QUALIFY row_number() OVER (PARTITION BY right_id ORDER BY score DESC, left_id) = 1),
+linked AS MATERIALIZED (
+  SELECT a.*, cluster_id, score AS link_score, 0 AS source_file FROM accounts a LEFT JOIN numbered ON a.id = left_id
+  UNION ALL
+  SELECT c.*, cluster_id, score, 1 FROM crm c LEFT JOIN chosen ON c.id = right_id)"""
+
+_REVIEWED = f"""{_LINKED},
+review AS MATERIALIZED (SELECT * FROM linked WHERE cluster_id IS NOT NULL QUALIFY count(*) OVER (PARTITION BY cluster_id) = 2)"""
+_ACCOUNT_COLUMNS = ("id", "name", "address", "city", "state", "zip", "source_file", "link_score")
+
+ORACLE |= {
+    "dedupe_accounts": f"""WITH RECURSIVE {_DEDUPED},
+numbers AS (SELECT component, row_number() OVER (ORDER BY component) - 1 AS cluster_id FROM (SELECT DISTINCT component FROM clusters))
+SELECT cluster_id, CASE WHEN c.id = c.component THEN 1.0 ELSE {_account_score()} END AS confidence_score, raw.*
+FROM clusters c JOIN numbers USING (component) JOIN accounts_rec a ON a.id = c.component JOIN accounts_rec b ON b.id = c.id
+JOIN accounts raw ON raw.id = c.id""",
+    "link_accounts": f"WITH {_LINKED} SELECT * FROM linked",
+    "review_accounts": ORACLE["label_pivot"].replace(REVIEW, _REVIEWED).replace(f"ORDER BY {_ORDER}", "ORDER BY source_file, id").replace(
+        ", ".join(f"a.{c} AS SFDC_Acc_{c}, b.{c} AS ExFactory_{c}" for c in _WIDE),
+        ", ".join(f"a.{c} AS SFDC_Acc_{c}, b.{c} AS ExFactory_{c}" for c in _ACCOUNT_COLUMNS),
+    ),
+}
