@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from kinmaster import schema as S
 from kinmaster.functions.text import normalise_link_text, normalise_text, normalise_zip
-from kinmaster.operators import clustering, identity, intake, linkage, quality, review
+from kinmaster.operators import clustering, identity, intake, linkage, quality, refinement, review
 from kinmaster.operators.blocking import account_rules
 from kinmaster.operators.records import prepare_records
 from kinmaster.operators.reshape import rename
@@ -44,12 +44,17 @@ def clean_for_linkage(df: DataFrame, fields: Sequence[FieldSpec] = ACCOUNT_FIELD
 def dedupe(
     accounts: DataFrame, record_id: str = "record_number", fields: Sequence[FieldSpec] = ACCOUNT_FIELDS,
     rules: Mapping[str, Column] | None = None, similarity: float | None = BLOCK_SIMILARITY,
-    threshold: float = S.DEDUPE_THRESHOLD,
+    threshold: float = S.DEDUPE_THRESHOLD, refine: float | None = None,
 ) -> DataFrame:
-    """Accounts with ``cluster_id`` and ``confidence_score`` in front."""
+    """Accounts with ``cluster_id`` and ``confidence_score`` in front.
+
+    Clusters are the components of all matches; with ``refine`` they are divided by average linkage at that score.
+    """
     records = prepare_records(clean_for_dedupe(spread(accounts), fields), record_id, fields, rules or account_rules())
     clusters, reps, copies = clustering.cluster_records(records, fields, similarity, threshold)
     clusters = materialise(clusters, "clusters")
+    if refine is not None:
+        clusters = materialise(refinement.refine_clusters(clusters, reps, copies, fields, refine), "clusters")
     confidence = clustering.representative_confidence(clusters, reps, copies, fields)
     return clustering.cluster_output(accounts, confidence, record_id)
 

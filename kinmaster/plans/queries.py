@@ -26,6 +26,7 @@ from kinmaster.operators import (
     numbering,
     quality,
     records,
+    refinement,
     reshape,
     review,
     scoring,
@@ -43,6 +44,8 @@ REGISTRY: dict[str, Query] = {}
 SAMPLE = 100
 REVIEW_QUEUE = 50
 BETA = 0.5
+# Accounts are joined from 0.5 on and divided where they are not that much alike.
+REFINE_CUT = 0.6
 RUN_TIME = "2024-01-31 06:00:00"
 RECEIVED = "2024-01-31"
 
@@ -493,6 +496,18 @@ def dedupe_accounts(spark, sf_dir):
     return mastering.dedupe(roles.accounts(spark, sf_dir), "id")
 
 
+@query
+def refine_accounts(spark, sf_dir):
+    """Clusters of accounts, divided by average linkage, beside the components they come from."""
+    records_ = records.prepare_records(
+        mastering.clean_for_dedupe(spread(roles.accounts(spark, sf_dir))), "id", ACCOUNT_FIELDS, blocking.account_rules()
+    )
+    clusters, reps, copies = clustering.cluster_records(records_, ACCOUNT_FIELDS, None)
+    clusters = materialise(clusters, "clusters")
+    refined = refinement.refine_clusters(clusters, reps, copies, ACCOUNT_FIELDS, REFINE_CUT)
+    return refined.withColumnRenamed("component", "refined").join(clusters, "record_id")
+
+
 def _linked_accounts(spark, sf_dir):
     return mastering.link(roles.accounts(spark, sf_dir), roles.crm_accounts(spark, sf_dir), "id", "id")
 
