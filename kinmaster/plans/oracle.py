@@ -643,3 +643,15 @@ JOIN accounts raw ON raw.id = c.id""",
         ", ".join(f"a.{c} AS SFDC_Acc_{c}, b.{c} AS ExFactory_{c}" for c in _ACCOUNT_COLUMNS),
     ),
 }
+
+ORACLE["index_pairs"] = f"""WITH d AS MATERIALIZED (
+  SELECT doc_id, list_sort(list_distinct(list_filter(string_split({_normalise_link('text')}, ' '), lambda w: w <> ''))) AS toks FROM documents
+), c AS MATERIALIZED (
+  SELECT toks, min(doc_id) AS id, count(*) AS n FROM d WHERE len(toks) > 0 GROUP BY toks
+), w AS MATERIALIZED (SELECT id, n, unnest(toks) AS word FROM c),
+weights AS (SELECT word, floor(ln(1 + (SELECT sum(n) FROM c) / sum(n)) * 1000 + 0.5)::BIGINT AS weight FROM w GROUP BY word),
+t AS MATERIALIZED (SELECT id, word, weight * weight AS square FROM w JOIN weights USING (word)),
+norms AS MATERIALIZED (SELECT id, sqrt(sum(square)::DOUBLE) AS norm FROM t GROUP BY id),
+products AS (SELECT a.id AS left_id, b.id AS right_id, sum(a.square)::DOUBLE AS product FROM t a JOIN t b ON a.word = b.word AND a.id < b.id GROUP BY ALL)
+SELECT left_id, right_id, round(product / (x.norm * y.norm), 6) AS cosine
+FROM products JOIN norms x ON x.id = left_id JOIN norms y ON y.id = right_id WHERE round(product / (x.norm * y.norm), 6) >= 0.7"""

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from kinmaster import schema as S
-from kinmaster.functions.similarity import string_ratio
+from kinmaster.functions.similarity import hashed_words, string_ratio
 from kinmaster.functions.text import (
     format_time,
     is_pending,
@@ -21,6 +21,7 @@ from kinmaster.operators import (
     blocking,
     clustering,
     identity,
+    index_blocking,
     intake,
     linkage,
     numbering,
@@ -46,6 +47,7 @@ REVIEW_QUEUE = 50
 BETA = 0.5
 # Accounts are joined from 0.5 on and divided where they are not that much alike.
 REFINE_CUT = 0.6
+INDEX_COSINE = 0.7
 RUN_TIME = "2024-01-31 06:00:00"
 RECEIVED = "2024-01-31"
 
@@ -487,6 +489,13 @@ def pair_horizontal(spark, sf_dir):
     return linkage.pair_horizontal(materialise(linked.withColumn("comments", F.col("comments").cast("string")), "linked"))
 
 
+@query
+def index_pairs(spark, sf_dir):
+    """Documents whose weighted words have a cosine of 0.7, a document for each set of words."""
+    docs = roles.documents(spark, sf_dir).select(F.col("doc_id").alias("record_id"), hashed_words(F.col("text")).alias("tokens"))
+    return index_blocking.similar_sets(materialise(docs, "documents"), INDEX_COSINE)[0]
+
+
 # --- accounts -----------------------------------------------------------------
 
 
