@@ -15,10 +15,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from kinmaster.operators.joins import join_back
+from kinmaster.operators.numbering import dense_number
 from kinmaster.session import materialise
 
-# Weights are log(1 + N / df) in these parts.
+# Weights are log(1 + N / df) in these parts, so they have fewer than these bits.
 PARTS = 1000
+WEIGHT_BITS = 17
 
 
 def token_weight(total: str | Column, df: str | Column) -> Column:
@@ -42,36 +44,48 @@ def token_classes(records: DataFrame) -> tuple[DataFrame, DataFrame]:
     return materialise(classes.withColumnRenamed("record_id", "class_id"), "classes"), members
 
 
-def weighted_tokens(classes: DataFrame) -> DataFrame:
-    """(class_id, norm, tokens): each set's ``(weight, df, token)`` from the rarest on, and the sum of its squares.
+def weighted_tokens(classes: DataFrame) -> tuple[DataFrame, int]:
+    """((class_id, norm, codes), the largest code of a token that only one record has).
 
-    Frequencies count records, not classes.
+    A code is a token's place from the rarest on, with its weight in the last bits: codes in order are
+    tokens by rarity, and equal codes are equal tokens. ``norm`` is the sum of squares. Frequencies count records.
     """
     total = classes.agg(F.coalesce(F.sum("n_members"), F.lit(0)).alias("total")).first()["total"]
     exploded = classes.select("class_id", "n_members", F.explode("tokens").alias("token"))
     counts = exploded.groupBy("token").agg(F.sum("n_members").alias("df"))
-    rows = join_back(exploded.select("class_id", "token"), counts, "token", "token")
-    rows = rows.select("class_id", F.struct("df", "token", token_weight(F.lit(total), "df").alias("w")).alias("t"))
-    ordered = rows.groupBy("class_id").agg(F.sort_array(F.collect_list("t")).alias("tokens"))
-    return ordered.withColumn("norm", F.aggregate("tokens", F.lit(0).cast("bigint"), lambda s, t: s + t["w"] * t["w"]))
+    placed = dense_number(counts, ["df", "token"], "place")
+    code = F.shiftleft("place", WEIGHT_BITS) + token_weight(F.lit(total), "df")
+    coded = materialise(placed.select(F.col("token").alias("t"), code.alias("code"), "df"), "token_codes")
+    rows = join_back(exploded.select("class_id", "token"), coded.select("t", "code"), "token", "t")
+    ordered = rows.groupBy("class_id").agg(F.sort_array(F.collect_list("code")).alias("codes"))
+    lone = coded.where("df = 1").agg(F.coalesce(F.max("code"), F.lit(0).cast("bigint")).alias("lone")).first()["lone"]
+    return ordered.withColumn("norm", squares(F.col("codes"))), lone
+
+
+def _square(code: Column) -> Column:
+    weight = code.bitwiseAND(F.lit((1 << WEIGHT_BITS) - 1))
+    return weight * weight
+
+
+def squares(codes: Column) -> Column:
+    return F.aggregate(codes, F.lit(0).cast("bigint"), lambda s, c: s + _square(c))
 
 
 def prefixes(weighted: DataFrame, threshold: float) -> DataFrame:
-    """(class_id, token, df): the rarest tokens of each set, one of which any similar set shares.
+    """(class_id, norm, code): the rarest tokens of each set, one of which any similar set shares.
 
     Sums run from the frequent end; a token belongs to the prefix if it and what follows reach the threshold.
     """
+    # Squares, with room for rounding on the safe side.
+    needed = F.col("norm") * (threshold * threshold - 1e-9)
     ends = F.aggregate(
-        F.reverse("tokens"), F.struct(F.lit(0).cast("bigint").alias("sum"), F.lit(0).alias("n")),
-        lambda s, t: F.struct(
-            (s["sum"] + t["w"] * t["w"]).alias("sum"),
-            # Squares, with room for rounding on the safe side.
-            (s["n"] + F.when((s["sum"] + t["w"] * t["w"]) < F.col("norm") * (threshold * threshold - 1e-9), 1).otherwise(0)).alias("n"),
+        F.reverse("codes"), F.struct(F.lit(0).cast("bigint").alias("sum"), F.lit(0).alias("n")),
+        lambda s, c: F.struct(
+            (s["sum"] + _square(c)).alias("sum"), (s["n"] + F.when(s["sum"] + _square(c) < needed, 1).otherwise(0)).alias("n")
         ),
         lambda s: s["n"],
     )
-    kept = F.slice("tokens", F.lit(1), F.size("tokens") - ends)
-    return weighted.select("class_id", F.inline(kept)).select("class_id", "token", "df")
+    return weighted.select("class_id", "norm", F.explode(F.slice("codes", F.lit(1), F.size("codes") - ends)).alias("code"))
 
 
 def similar_sets(records: DataFrame, threshold: float) -> tuple[DataFrame, DataFrame]:
@@ -84,18 +98,20 @@ def similar_sets(records: DataFrame, threshold: float) -> tuple[DataFrame, DataF
     if not 0.0 < threshold <= 1.0:
         raise ValueError("the threshold must be above 0 and at most 1")
     classes, members = token_classes(records)
-    weighted = materialise(weighted_tokens(classes), "weighted")
+    weighted, lone = weighted_tokens(classes)
+    weighted = materialise(weighted, "weighted")
     # A set rounded up to the threshold is let in by half a unit of the sixth decimal.
-    keys = prefixes(weighted, max(threshold - 5e-7, 1e-9)).where("df > 1")
-    keys = materialise(keys.join(weighted.select("class_id", "norm"), "class_id"), "prefixes")
-    left = keys.select("token", F.col("class_id").alias("left_id"))
-    right = keys.select("token", F.col("class_id").alias("right_id"))
-    met = left.join(right, "token").where("left_id < right_id").select("left_id", "right_id").distinct()
-    a = weighted.select(F.col("class_id").alias("left_id"), F.col("tokens").alias("lt"), F.col("norm").alias("ln"))
-    b = weighted.select(F.col("class_id").alias("right_id"), F.col("tokens").alias("rt"), F.col("norm").alias("rn"))
+    least = max(threshold - 5e-7, 1e-9)
+    keys = materialise(prefixes(weighted, least).where(F.col("code") > lone), "prefixes")
+    left = keys.select("code", F.col("class_id").alias("left_id"), F.col("norm").alias("ln"))
+    right = keys.select("code", F.col("class_id").alias("right_id"), F.col("norm").alias("rn"))
+    # What is shared weighs at most as much as the lighter set.
+    fits = F.least("ln", "rn") >= F.greatest("ln", "rn") * (least * least - 1e-9)
+    met = left.join(right, "code").where((F.col("left_id") < F.col("right_id")) & fits).select("left_id", "right_id").distinct()
+    a = weighted.select(F.col("class_id").alias("left_id"), F.col("codes").alias("lc"), F.col("norm").alias("ln"))
+    b = weighted.select(F.col("class_id").alias("right_id"), F.col("codes").alias("rc"), F.col("norm").alias("rn"))
     both = met.join(a, "left_id").join(b, "right_id")
-    common = F.array_intersect("lt", "rt")
-    product = F.aggregate(common, F.lit(0).cast("bigint"), lambda s, t: s + t["w"] * t["w"])
+    product = squares(F.array_intersect("lc", "rc"))
     cosine = F.round(product / (F.sqrt(F.col("ln")) * F.sqrt(F.col("rn"))), 6)
     return both.select("left_id", "right_id", cosine.alias("cosine")).where(F.col("cosine") >= threshold), members
 
