@@ -89,18 +89,19 @@ def coded_words(words: DataFrame) -> tuple[DataFrame, int]:
 class _Codes(dict):
     """Codes of one language's words as met: as ``code_of``, 0 for breaks and words that are not wanted."""
 
-    def __init__(self, lang: str, salt: int, wanted: np.ndarray):
+    def __init__(self, lang: str, salt: int, wanted: bytes):
         import xxhash
 
-        self.hash, self.wanted = xxhash.xxh64_intdigest, wanted
+        self.hash, self.wanted, self.mask = xxhash.xxh64_intdigest, wanted, len(wanted) * 8 - 1
         self.seed = self.hash(lang.encode(), self.hash(str(salt).encode(), 42))
 
     def __missing__(self, word: bytes) -> int:
         code = 0 if word == BREAK else self.hash(word, self.seed)
-        code = code - (1 << 64) if code >> 63 else code
-        if code and not has(self.wanted, np.array([code]))[0]:
+        slot = code & self.mask
+        # The test of ``has``, for one word.
+        if not self.wanted[slot >> 3] >> (slot & 7) & 1:
             code = 0
-        self[word] = code
+        code = self[word] = code - (1 << 64) if code >> 63 else code
         return code
 
 
@@ -112,6 +113,7 @@ def code_texts(texts: DataFrame, salt: int, wanted: np.ndarray) -> DataFrame:
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known: dict[str, _Codes] = {}
+        bits = shared.value.tobytes()
         for batch in batches:
             langs = batch.column("lang").to_pylist()
             for first in range(0, batch.num_rows, 200):
@@ -119,7 +121,7 @@ def code_texts(texts: DataFrame, salt: int, wanted: np.ndarray) -> DataFrame:
                 for lang, text in zip(langs[first:first + 200], batch.column("text").slice(first, 200), strict=True):
                     codes = known.get(lang)
                     if codes is None or len(codes) > REMEMBERED:
-                        codes = known[lang] = _Codes(lang, salt, shared.value)
+                        codes = known[lang] = _Codes(lang, salt, bits)
                     found = np.array([*map(codes.__getitem__, tokens(text.as_py())), 0], dtype=np.int64)
                     # One break says as much as several.
                     rows.append(found[(found != 0) | (np.append(found[1:], 1) != 0)])
