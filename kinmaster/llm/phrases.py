@@ -9,6 +9,10 @@ frequent. When the bound of every first word that is left lies below a language'
 wanted score, the language is settled and its other words, the most frequent ones that
 make up most of the text, are never expanded.
 
+Grown phrases are bounded more closely by their last cut, whose counts are known, and looked at
+in order of that bound: the best of each language first, then those of the rest that may
+still reach the floor these set.
+
 Texts become arrays of 64-bit word codes once. What may be counted in a pass is told to
 the tasks by bitmaps over hashes: of fixed size however many words and phrases there
 are, without a wrong no, and a wrong yes costs a count that is thrown away. Counts are
@@ -387,17 +391,24 @@ def mine_phrases(
             grown.join(start, F.get("p", F.lit(0)) == F.col("head"))
             .withColumns({"prefix": F.expr("slice(p, 1, size(p) - 1)"), "last": F.expr("slice(p, size(p), 1)")})
             .join(_named(known, "prefix", "l"), "prefix").join(_named(single, "last", "r"), "last")
-            .where(F.col("floor").isNull() | (F.expr(_SCORE) >= F.col("floor"))).select("lang", "n", "p", "a")
+            .withColumn("bound", F.expr(_SCORE)).where(F.col("floor").isNull() | (F.col("bound") >= F.col("floor")))
+            .select("lang", "n", "p", "a", "bound")
         )
-        candidates = materialise(likely, "candidates")
-        if candidates.isEmpty():
-            continue
-        tails = F.expr("transform(sequence(0, size(p) - 2), k -> slice(p, k + 1, size(p)))")
-        wanted = materialise(candidates.select(F.explode(tails).alias("p")).distinct(), "wanted")
-        surveyed = materialise(survey(codes, wanted, longest, bits), "surveyed")
-        counts = known.union(surveyed.select("p", "a")).distinct()
-        survivors = materialise(survivors.union(scored(candidates, counts, surveyed, longest)), "survivors")
-        floor = materialise(floors(survivors, top), "floors")
+        # Best bounds first: what they settle leaves few of the others to look at.
+        likely = materialise(likely, "candidates")
+        cuts = floors(likely.select("lang", F.col("bound").alias("score")), 2 * top).withColumnRenamed("floor", "cut")
+        ranked = likely.join(cuts, "lang", "left").withColumn("first", F.col("cut").isNull() | (F.col("bound") >= F.col("cut")))
+        for part in ("first", "NOT first"):
+            open_ones = ranked.where(part).join(floor, "lang", "left").where(F.col("floor").isNull() | (F.col("bound") >= F.col("floor")))
+            candidates = materialise(open_ones.select("lang", "n", "p", "a"), "batch")
+            if candidates.isEmpty():
+                continue
+            tails = F.expr("transform(sequence(0, size(p) - 2), k -> slice(p, k + 1, size(p)))")
+            wanted = materialise(candidates.select(F.explode(tails).alias("p")).distinct(), "wanted")
+            surveyed = materialise(survey(codes, wanted, longest, bits), "surveyed")
+            counts = known.union(surveyed.select("p", "a")).distinct()
+            survivors = materialise(survivors.union(scored(candidates, counts, surveyed, longest)), "survivors")
+            floor = materialise(floors(survivors, top), "floors")
 
     kept = survivors.join(floor, "lang", "left").where(F.col("floor").isNull() | (F.col("score") >= F.col("floor"))).drop("floor")
     kept = kept.withColumn("row", F.struct("p", "a", "l", "r", "n", "score"))
