@@ -655,3 +655,16 @@ norms AS MATERIALIZED (SELECT id, sqrt(sum(square)::DOUBLE) AS norm FROM t GROUP
 products AS (SELECT a.id AS left_id, b.id AS right_id, sum(a.square)::DOUBLE AS product FROM t a JOIN t b ON a.word = b.word AND a.id < b.id GROUP BY ALL)
 SELECT left_id, right_id, round(product / (x.norm * y.norm), 6) AS cosine
 FROM products JOIN norms x ON x.id = left_id JOIN norms y ON y.id = right_id WHERE round(product / (x.norm * y.norm), 6) >= 0.7"""
+
+_EXPECTED = f"""{_PAIR_FEATURES},
+counts AS (SELECT round(score * 1000000)::BIGINT AS units, count(*) AS n FROM scored GROUP BY 1),
+sums AS (SELECT units / 1000000 AS threshold, sum(n) OVER down AS selected, sum(units * n) OVER down AS found, sum(units * n) OVER () AS total
+         FROM counts WINDOW down AS (ORDER BY units DESC)),
+pr AS (SELECT threshold, selected, found, found / (selected * 1000000) AS p, CASE WHEN total > 0 THEN found / total ELSE 0 END AS r FROM sums),
+expected AS (SELECT threshold, selected::BIGINT AS selected, round(p, 6) AS expected_precision, round(r, 6) AS expected_recall,
+                    CASE WHEN found > 0 THEN round((1 + 0.25::DOUBLE) * p * r / (0.25::DOUBLE * p + r), 6) ELSE 0.0 END AS expected_f_beta FROM pr)"""
+
+ORACLE |= {
+    "expected_curve": f"WITH {_EXPECTED} SELECT * FROM expected",
+    "expected_threshold": f"WITH {_EXPECTED} SELECT * FROM expected ORDER BY expected_f_beta DESC, threshold DESC LIMIT 1",
+}

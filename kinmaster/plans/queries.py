@@ -628,6 +628,17 @@ def threshold_curve(spark, sf_dir):
     return scoring.threshold_curve(scoring.score_pairs(features, ACCOUNT_FIELDS), BETA)
 
 
+@query
+def expected_curve(spark, sf_dir):
+    """Cuts judged by the scores alone, taken as probabilities."""
+    return scoring.expected_curve(scoring.score_pairs(_features(spark, sf_dir), ACCOUNT_FIELDS), BETA)
+
+
+@query
+def expected_threshold(spark, sf_dir):
+    return scoring.expected_threshold(scoring.score_pairs(_features(spark, sf_dir), ACCOUNT_FIELDS), BETA)
+
+
 @query
 def train_scorer(spark, sf_dir):
     """Pairs scored by a model learnt from the review labels."""
