@@ -86,7 +86,8 @@ def seq_id_per_cluster(
 
 
 def attach_ids(df: DataFrame, ids: DataFrame, key: str) -> DataFrame:
-    return df.join(ids, key, "left")
+    """All rows with the columns of ``ids``, which has a row per key; NULL where a key has none."""
+    return join_back(df, ids, key, key, "left")
 
 
 def is_net_new(column: Column, last: str, mode: str = "strict", prefix: str = S.ID_PREFIX) -> Column:

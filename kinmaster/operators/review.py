@@ -123,10 +123,10 @@ def review_pivot(
 
 
 def review_order(names: Sequence[str] = (S.REVIEW_LEFT_PREFIX, S.REVIEW_RIGHT_PREFIX), key: str = "cluster_id") -> list[str]:
-    """Final column order of the review table."""
+    """Final column order of the review table: the second side by name, its file number last."""
     left, right = names
     first = [left + c for c in REVIEW_COLUMNS if c != "link_score"]
-    second = [right + c for c in sorted(REVIEW_COLUMNS)]
+    second = [right + c for c in [*sorted(c for c in REVIEW_COLUMNS if c != "source_file"), "source_file"]]
     ends = ["address_similarity", "name_similarity", left + "link_score", "label"]
     return ["adjusted_link_score", key, *first, *second, *ends]
 

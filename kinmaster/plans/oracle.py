@@ -668,3 +668,7 @@ ORACLE |= {
     "expected_curve": f"WITH {_EXPECTED} SELECT * FROM expected",
     "expected_threshold": f"WITH {_EXPECTED} SELECT * FROM expected ORDER BY expected_f_beta DESC, threshold DESC LIMIT 1",
 }
+
+ORACLE["attach_ids"] = f"""WITH {CLUSTERED}
+SELECT record_number, cluster_id, given_id FROM clustered
+LEFT JOIN (SELECT cluster_id, min(final_id) AS given_id FROM clustered WHERE starts_with(final_id, 'EMUSHCO') GROUP BY cluster_id) USING (cluster_id)"""

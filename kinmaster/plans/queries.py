@@ -294,6 +294,14 @@ def id_assign_strict(spark, sf_dir):
     return identity.assign_ids(accounts, master=accounts, pending_policy="strict")
 
 
+@query
+def attach_ids(spark, sf_dir):
+    """Accounts beside the first ID their cluster was ever given."""
+    accounts = roles.clustered(spark, sf_dir)
+    given = accounts.where(F.col("final_id").startswith(S.ID_PREFIX)).groupBy("cluster_id").agg(F.min("final_id").alias("given_id"))
+    return identity.attach_ids(accounts.select("record_number", "cluster_id"), given, "cluster_id")
+
+
 @query
 def id_qc_counts(spark, sf_dir):
     return identity.id_qc(id_assign(spark, sf_dir))

@@ -76,3 +76,12 @@ def test_overrides_replace_labels(spark):
     df = spark.createDataFrame([(1, "Other"), (2, "Other")], "cluster_id int, label string")
     changed = review.apply_overrides(df, df.where("cluster_id = 2").withColumn("label", F.lit("Reliable match")))
     assert sorted(map(tuple, changed.collect())) == [(1, "Other"), (2, "Reliable match")]
+
+
+def test_final_column_order():
+    # Fixed value: the order of the finished table.
+    assert review.review_order()[12:23] == [
+        f"ExFactory_{c}" for c in (
+            "address", "city", "id", "link_score", "name", "q_id", "ship_to_number", "source", "state", "zip", "source_file",
+        )
+    ]
