@@ -14,7 +14,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from kinmaster.llm.textspans import places
+from kinmaster.llm.textspans import bound, cut, pieces, places
 
 SPAN = "struct<start:int,kind_rank:int,kind:string,end:int,score:double>"
 CONTEXT_CHARS = 60
@@ -106,10 +106,11 @@ MORE_KINDS = (
 
 def spans_of(text: Column, kind: Kind, rank: int) -> Column:
     """Checked spans of one kind, in code points, end exclusive; texts without its hint are not searched."""
-    def weighed(text: Column, s: Column) -> Column:
+    def weighed(parts: Column, size: Column, s: Column) -> Column:
         end = s["start"] + F.length(s["match"])
-        first = F.greatest(s["start"] - CONTEXT_CHARS, F.lit(0))
-        near = F.lower(F.concat(F.substring(text, first + 1, s["start"] - first), F.lit(" "), F.substring(text, end + 1, F.lit(CONTEXT_CHARS))))
+        before = cut(parts, F.greatest(s["start"] - CONTEXT_CHARS, F.lit(0)), s["start"])
+        after = cut(parts, end, F.least(end + CONTEXT_CHARS, size))
+        near = F.lower(F.concat(before, F.lit(" "), after))
         words = "|".join(kind.words)
         bonus = F.when(near.rlike(rf"(?<![a-z])(?:{words})(?![a-z])"), CONTEXT_BONUS).otherwise(0.0) if words else F.lit(0.0)
         return F.struct(
@@ -118,7 +119,7 @@ def spans_of(text: Column, kind: Kind, rank: int) -> Column:
         )
 
     checked = F.filter(places(text, kind.pattern), lambda s: kind.check(s["match"]))
-    spans = F.transform(checked, lambda s: weighed(text, s))
+    spans = bound([pieces(text), F.length(text)], lambda parts, size: F.transform(checked, lambda s: weighed(parts, size, s)))
     return F.when(text.rlike(kind.hint), spans).otherwise(F.array().cast(f"array<{SPAN}>"))
 
 
@@ -151,18 +152,42 @@ def redact(docs: DataFrame, text_col: str = "text", **options) -> DataFrame:
     A span that begins inside an earlier one is covered by that. Null texts stay null.
     """
     found = find_pii(docs, text_col=text_col, **options)
-    begin = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
+    text = F.col(text_col)
 
-    def step(acc: Column, s: Column) -> Column:
-        shown = F.struct(s["end"].alias("at"), F.concat(
-            acc["out"], F.substring(F.col(text_col), acc["at"] + 1, s["start"] - acc["at"]), F.lit("<"), s["kind"], F.lit(">")).alias("out"))
-        return F.when(s["start"] >= acc["at"], shown).otherwise(acc)
+    def joined(shown: Column, parts: Column) -> Column:
+        ends = F.concat(F.array(F.lit(0)), F.transform(shown, lambda s: s["end"]))
+        return bound([ends], lambda ends: F.concat(
+            F.array_join(F.transform(shown, lambda s, i: F.concat(cut(parts, F.get(ends, i), s["start"]), F.lit("<"), s["kind"], F.lit(">"))), ""),
+            cut(parts, F.element_at(ends, -1), F.length(text)),
+        ))
 
-    def end(acc: Column) -> Column:
-        return F.concat(acc["out"], F.substring(F.col(text_col), acc["at"] + 1, F.length(text_col)))
+    hidden = F.when(F.size("spans") > 0, bound([_apart(F.col("spans")), pieces(text)], joined)).otherwise(text)
+    return found.withColumn(text_col, hidden).select(*docs.columns)
 
-    cut = F.when(F.size("spans") > 0, F.aggregate("spans", begin, step, end)).otherwise(F.col(text_col))
-    return found.withColumn(text_col, cut).select(*docs.columns)
+
+def _apart(spans: Column) -> Column:
+    """Spans, in order, without those that begin inside one that is kept.
+
+    The spans are gone through in groups of about the square root of their number, so no long array grows one by one.
+    """
+    nothing = F.array().cast(f"array<{SPAN}>")
+
+    def take(acc: Column, s: Column) -> Column:
+        longer = F.struct(s["end"].alias("at"), F.concat(acc["found"], F.array(s)).alias("found"))
+        return F.when(s["start"] >= acc["at"], longer).otherwise(acc)
+
+    def group(acc: Column, part: Column) -> Column:
+        begin = F.struct(acc["at"].alias("at"), nothing.alias("found"))
+        return bound([F.aggregate(part, begin, take)], lambda done: F.struct(
+            done["at"].alias("at"), F.concat(acc["found"], F.array(done["found"])).alias("found")))
+
+    def groups(spans: Column, size: Column) -> Column:
+        firsts = F.sequence(F.lit(1), F.greatest(F.size(spans), F.lit(1)), size)
+        return F.transform(firsts, lambda i: F.slice(spans, i, size))
+
+    start = F.struct(F.lit(0).alias("at"), F.array().cast(f"array<array<{SPAN}>>").alias("found"))
+    parts = bound([spans, F.ceil(F.sqrt(F.size(spans) + 1)).cast("int")], groups)
+    return F.flatten(F.aggregate(parts, start, group)["found"])
 
 
 def _joined(spans: Column) -> Column:

@@ -1,6 +1,7 @@
 """PII, URL rules, secrets and language: rules, edge cases and brute force."""
 
 import re
+import time
 import zlib
 
 import pytest
@@ -60,6 +61,32 @@ def test_more_kinds_checksums_and_context(spark):
     assert shown == {0: "é <email> <ip>!", 1: None, 2: "x"}
 
 
+def test_pii_very_many_matches(spark):
+    """A mailing list of 100,000 addresses: cost grows with the text, places and contexts stay right."""
+    begun = time.monotonic()
+    text = "".join(f"é call {'mail' if i % 3 else 'x' * 70} u{i}@ex{i % 7}.org +1 555 {i:07d},\n" for i in range(100_000))
+    rows = spark.createDataFrame([(0, text)], "doc_id long, text string")
+    found = pii.find_pii(rows).select("doc_id", "base_spans").collect()[0]["base_spans"]
+    assert [(s["start"], s["kind_rank"], s["kind"], s["end"]) for s in found] == base_spans(text)
+    emails = [s["score"] for s in found if s["kind"] == "email"]
+    assert emails[1] == 1.0 and len(emails) == 100_000
+    shown = pii.redact(rows).collect()[0]["text"]
+    assert shown == re.sub(r"u\d+@ex\d\.org", "<email>", re.sub(r"\+1 555 \d{7}", "<phone>", text))
+    assert time.monotonic() - begun < 90
+
+
+def test_redact_overlapping_spans(spark):
+    """A card inside a phone number is covered by it; what follows it directly is not."""
+    text = "+4111 1111 1111 1111 a@b.org,1.2.3.4" * 40
+    rows = spark.createDataFrame([(0, text)], "doc_id long, text string")
+    spans = [(s["start"], s["kind"], s["end"]) for s in pii.find_pii(rows).collect()[0]["spans"]]
+    out, at = "", 0
+    for start, kind, end in spans:
+        if start >= at:
+            out, at = out + text[at:start] + f"<{kind}>", end
+    assert pii.redact(rows).collect()[0]["text"] == out + text[at:]
+
+
 def test_pii_empty_table(spark):
     assert pii.find_pii(spark.createDataFrame([], "doc_id long, text string")).count() == 0
 
