@@ -16,9 +16,9 @@ from __future__ import annotations
 import heapq
 import re
 import zlib
-from collections import deque
+from array import array
 from collections.abc import Iterator, Sequence
-from itertools import chain
+from itertools import accumulate, chain
 
 import numpy as np
 import zstandard
@@ -33,13 +33,17 @@ MAX_BITS = 16
 TOKENIZER = "byte_bpe_50k.json"
 # Documents whose ids are coded as one row of a part: about so many ids.
 ROW_IDS = 1 << 19
-# Token ids of this many distinct pieces of text, and of as many older ones, are remembered by a Python worker.
-REMEMBERED = 700_000
+# Token ids of this many distinct pieces of text, and of as many older ones, are remembered by a Python worker, if a
+# piece has at most that many characters: about 90 MB in all, 150 bytes a piece.
+REMEMBERED = 300_000
+LONGEST_REMEMBERED = 64
+# Rows a worker encodes together, and the bytes of text from which it takes fewer; a longer text goes in parts.
 ROWS_AT_ONCE = 400
+BYTES_AT_ONCE = 1 << 22
 
 
 class _Known(dict):
-    """Ids by piece; a piece that is missing is noted and stands for nothing until it is filled in.
+    """Ids by piece; a piece that is missing is noted and stands for itself until it is filled in.
 
     When it is full it becomes the older half and begins anew; pieces seen again are taken from there.
     """
@@ -49,11 +53,11 @@ class _Known(dict):
         self.missing: set[str] = set()
         self.older: dict[str, bytes] = {}
 
-    def __missing__(self, piece: str) -> bytes:
+    def __missing__(self, piece: str) -> bytes | str:
         ids = self.older.get(piece)
         if ids is None:
             self.missing.add(piece)
-            return b""
+            return piece
         self[piece] = ids
         return ids
 
@@ -88,16 +92,27 @@ class PieceEncoder:
         top = max(vocabulary.values(), default=0)
         self.dtype = id_type(top)
         added = {t["id"]: len(t["content"].encode()) for t in parts.get("added_tokens", [])}
+        # Words and marks are divided alike by every such tokenizer, unless it has added tokens of letters.
+        self.by_word = self.by_piece and not any(t["content"].strip().isalpha() for t in parts.get("added_tokens", []))
         # A byte-level token has one character for each byte it stands for.
         self.n_bytes = np.zeros(top + 1, dtype=np.int64)
         for token, i in vocabulary.items():
             self.n_bytes[i] = added.get(i, len(token))
         self.known = _Known()
+        self.model = self.tokenizer.model
 
     def _encode(self, texts: Sequence[str]) -> list[bytes]:
         found = self.tokenizer.encode_batch_fast(list(texts), add_special_tokens=False)
         return [np.array(e.ids, dtype=self.dtype).tobytes() for e in found]
 
+    def _part(self, part: str) -> bytes:
+        """Ids of what the tokenizer does not divide, straight from its model."""
+        ids = self.known.get(part)
+        if ids is None:
+            name = part.replace(" ", _BYTE_NAMES[32]) if part.isascii() and part[-1] != "\n" else "".join([_BYTE_NAMES[b] for b in part.encode()])
+            ids = self.known[part] = array(self.dtype.char, [t.id for t in self.model.tokenize(name)]).tobytes()
+        return ids
+
     def _learn(self, pieces: list[str]) -> None:
         """Encode pieces that begin with a blank, many in one text, and tell their ids apart by bytes."""
         step = 4096
@@ -119,27 +134,52 @@ class PieceEncoder:
         """Each text's ids as little-endian unsigned integers of ``dtype``; null counts as empty."""
         if not self.by_piece:
             return self._encode([t or "" for t in texts])
+        return [b"".join(self._pieced(list(_parts(t)))) if t and len(t) > BYTES_AT_ONCE else ids
+                for t, ids in zip(texts, self._pieced([t if t and len(t) <= BYTES_AT_ONCE else "" for t in texts]), strict=True)]
+
+    def _pieced(self, texts: list[str]) -> list[bytes]:
         if len(self.known) > REMEMBERED:
             self.known.turn()
-        pieces = [_pieces(t or "") for t in texts]
-        get = self.known.__getitem__
-        deque(map(get, chain.from_iterable(pieces)), maxlen=0)
+        pieces = [_pieces(t) for t in texts]
+        found = list(map(self.known.__getitem__, chain.from_iterable(pieces)))
         new = list(self.known.missing)
         self.known.missing.clear()
-        # What does not begin with a blank and a word is encoded by itself.
-        plain = [p for p in new if len(p) > 1 and p[0] == " " and not p[1].isspace() and not p[-1].isspace()]
-        odd = list(set(new).difference(plain))
+        # A blank and a word can be encoded beside others; what begins otherwise is encoded by itself.
+        rest = []
+        for piece in new:
+            parts = _WORDS.fullmatch(piece) if self.by_word else None
+            if not parts:
+                rest.append(piece)
+            elif parts.end(1) == len(piece):
+                self._part(piece)
+            else:
+                self.known[piece] = b"".join([self._part(p) for p in parts.groups() if p])
+        plain = [p for p in rest if len(p) > 1 and p[0] == " " and not p[1].isspace() and not p[-1].isspace()]
+        odd = list(set(rest).difference(plain))
         self._learn(plain)
         self.known.update(zip(odd, self._encode(odd), strict=True))
-        return [b"".join(map(get, p)) for p in pieces]
+        known, ends = self.known, list(accumulate(map(len, pieces)))
+        found = [ids if ids.__class__ is bytes else known[ids] for ids in found]
+        for piece in new:
+            if len(piece) > LONGEST_REMEMBERED:
+                del known[piece]
+        return [b"".join(found[first:end]) for first, end in zip([0, *ends], ends, strict=False)]
 
 
 def id_type(top: int) -> np.dtype:
     return np.dtype("<u2" if top < 1 << 16 else "<u4")
 
 
+# Letters of the Latin, Greek and Cyrillic scripts; a word of them, marks, and a word with marks on the next line. Byte-level
+# tokenizers divide such a piece exactly between these groups.
+_LETTERS = "A-Za-z\u00aa\u00b5\u00ba\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u02af\u0391-\u03a1\u03a3-\u03f5\u0400-\u0481\u048a-\u052f"
+_WORDS = re.compile(rf"( ?[{_LETTERS}]+)([.,;:!?]*)(?:(\n)([{_LETTERS}]+)([.,;:!?]*))?")
+# The character by which a byte-level vocabulary names a byte: itself where that can be seen, else the next from 256 on.
+_HIDDEN = [*range(0x21), *range(0x7F, 0xA1), 0xAD]
+_BYTE_NAMES = [chr(256 + _HIDDEN.index(b)) if b in _HIDDEN else chr(b) for b in range(256)]
 # A blank before other white space or the end.
 _LOOSE = re.compile(r" (?:\s|\Z)")
+_BETWEEN = re.compile(r"\S(?= \S)")
 
 
 def _pieces(text: str) -> list[str]:
@@ -151,6 +191,16 @@ def _pieces(text: str) -> list[str]:
     return _joined(out) if _LOOSE.search(text) else out
 
 
+def _parts(text: str) -> Iterator[str]:
+    """A long text cut where pieces begin: before a blank between what is no white space."""
+    begin = 0
+    for at in _BETWEEN.finditer(text):
+        if at.end() - begin > BYTES_AT_ONCE // 4:
+            yield text[begin:at.end()]
+            begin = at.end()
+    yield text[begin:]
+
+
 def _cut(text: str) -> list[str]:
     first, *rest = text.split(" ")
     return [first, *(" " + word for word in rest)]
@@ -281,6 +331,7 @@ def encoder_for(path: str) -> PieceEncoder:
 def tokenise(docs: DataFrame, path: str, end_id: int = END_ID, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, ids, n_tokens): ids of each whole text and ``end_id``, unsigned 32-bit integers under zstandard."""
     import pyarrow as pa
+    import pyarrow.compute as pc
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = encoder_for(path)
@@ -289,11 +340,11 @@ def tokenise(docs: DataFrame, path: str, end_id: int = END_ID, id_col: str = "do
         for batch in batches:
             names, texts = batch.column(id_col), batch.column(text_col)
             # Some hundred rows at a time, so that a task never holds the ids of all.
-            for first in range(0, batch.num_rows, ROWS_AT_ONCE):
-                ids = [x + end for x in encoder.encode(texts.slice(first, ROWS_AT_ONCE).to_pylist())]
+            for first, n in _groups(pc.fill_null(pc.binary_length(texts), 0).to_pylist()):
+                ids = [x + end for x in encoder.encode(texts.slice(first, n).to_pylist())]
                 sizes = [len(x) // (4 if wide else 2) for x in ids]
                 yield pa.RecordBatch.from_arrays(
-                    [names.slice(first, ROWS_AT_ONCE), pa.array([squeeze(x, wide) for x in ids], pa.binary()), pa.array(sizes, pa.int64())],
+                    [names.slice(first, n), pa.array([squeeze(x, wide) for x in ids], pa.binary()), pa.array(sizes, pa.int64())],
                     ["doc_id", "ids", "n_tokens"],
                 )
 
@@ -301,6 +352,18 @@ def tokenise(docs: DataFrame, path: str, end_id: int = END_ID, id_col: str = "do
     return docs.select(id_col, text_col).mapInArrow(encode, f"doc_id {kind}, ids binary, n_tokens bigint")
 
 
+def _groups(sizes: list[int]) -> Iterator[tuple[int, int]]:
+    """(first row, number of rows): consecutive rows of at most ``BYTES_AT_ONCE``, or one row."""
+    first = held = 0
+    for i, size in enumerate(sizes):
+        if i > first and (i - first == ROWS_AT_ONCE or held + size > BYTES_AT_ONCE):
+            yield first, i - first
+            first, held = i, 0
+        held += size
+    if len(sizes) > first:
+        yield first, len(sizes) - first
+
+
 def squeeze(ids: bytes, wide: bool) -> bytes:
     """Ids for their way through shuffles: width mark, then zstandard."""
     return bytes([4 if wide else 2]) + zstandard.ZstdCompressor(level=1).compress(ids)

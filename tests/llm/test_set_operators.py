@@ -19,6 +19,22 @@ SF = "/root/testdata/sf0.01"
 PATH = public_tokenizers.path(huffman.TOKENIZER)
 
 
+def test_pieces_in_parts(monkeypatch):
+    """Words, marks and lines of many scripts, with little remembered and long texts encoded in parts."""
+    monkeypatch.setattr(huffman, "BYTES_AT_ONCE", 60)
+    monkeypatch.setattr(huffman, "REMEMBERED", 50)
+    monkeypatch.setattr(huffman, "LONGEST_REMEMBERED", 4)
+    plain = Tokenizer.from_file(PATH)
+    encoder = huffman.PieceEncoder(PATH)
+    rng = random.Random(5)
+    signs = [" ", "  ", "\n", " \n", "a", "b c", "ёж", "ñandú,", "Ωμ.", "e\u0301.", ".\nB", "don't", "x²", "ª!", "中。a", "\0", "\u3000", "<|endoftext|>"]
+    texts = ["".join(rng.choices(signs, k=rng.randrange(60))) for _ in range(2000)]
+    for text, ids in zip(texts, encoder.encode(texts), strict=True):
+        assert np.frombuffer(ids, dtype=encoder.dtype).tolist() == plain.encode(text, add_special_tokens=False).ids, repr(text)
+    assert encoder.encode([None, ""]) == [b"", b""]
+    assert list(huffman._groups([0, 0, 70, 10, 50, 1])) == [(0, 2), (2, 1), (3, 2), (5, 1)]
+
+
 def test_pieces_give_the_ids_of_whole_texts():
     rng = random.Random(0)
     parts = ["a", "b", " ", "\n", "\t", "'s", "é", "1", "!", "\u00a0", "\u3000", "<|endoftext|>", "\x1c", "\r", "  ", "   ", "\0", " the", "\U0001f389"]
