@@ -24,7 +24,8 @@ from kinmaster import schema as S
 from kinmaster.functions.similarity import jaccard, words
 from kinmaster.functions.text import is_blank
 from kinmaster.operators.joins import join_back
-from kinmaster.operators.records import feature_columns, fixed_score, with_words
+from kinmaster.operators.pair_model import PairModel, pair_score
+from kinmaster.operators.records import feature_columns, with_words
 from kinmaster.schema import FieldSpec
 from kinmaster.session import materialise
 
@@ -215,9 +216,10 @@ def _side(records: DataFrame, prefix: str) -> DataFrame:
 
 
 def compare(
-    pairs: DataFrame, left: DataFrame, right: DataFrame, fields: Sequence[FieldSpec], threshold: float | None
+    pairs: DataFrame, left: DataFrame, right: DataFrame, fields: Sequence[FieldSpec], threshold: float | None,
+    model: PairModel | None = None,
 ) -> DataFrame:
-    """Pairs that really reach the similarity (all, without one), with features and the fixed score."""
+    """Pairs that really reach the similarity (all, without one), with features and the model's or the fixed score."""
     joined = pairs.join(_side(left, "left_"), "left_id").join(_side(right, "right_"), "right_id")
     if threshold:
         # The similarity test, arranged so that the sets are intersected only once.
@@ -230,7 +232,7 @@ def compare(
     return (
         near.withColumns(feature_columns(fields))
         .select("left_id", "right_id", F.round("similarity", 6).alias("similarity"), shared, *names)
-        .withColumn("score", fixed_score(fields))
+        .withColumn("score", pair_score(fields, model))
     )
 
 
@@ -254,14 +256,14 @@ def split_blocks(members: DataFrame, limit: int) -> tuple[DataFrame, DataFrame]:
 
 def candidate_pairs(
     records: DataFrame, fields: Sequence[FieldSpec], threshold: float | None,
-    frequent: int = FREQUENT, limit: int = BLOCK_LIMIT,
+    frequent: int = FREQUENT, limit: int = BLOCK_LIMIT, model: PairModel | None = None,
 ) -> DataFrame:
-    """All candidate pairs of one (prepared) dataset, with features and score.
+    """All candidate pairs of one (prepared) dataset, with features and the model's or the fixed score.
 
     Without a threshold the rules alone decide who meets: every pair of a block.
     """
     if not threshold:
-        return compare(pairs_within(block_members(records), None), records, records, fields, None)
+        return compare(pairs_within(block_members(records), None), records, records, fields, None, model)
     small, large = split_blocks(materialise(block_members(records), "members"), limit)
     pairs = pairs_within(small, threshold)
     large = materialise(large, "large_blocks")
@@ -269,21 +271,21 @@ def candidate_pairs(
         signed = materialise(sign_members(large, records, threshold, frequent), "signatures")
         found = similar_in_blocks(signed, as_right(signed), threshold, F.col("record_id") < F.col("r_record_id"))
         pairs = pairs.union(found).distinct()
-    return compare(pairs, records, records, fields, threshold)
+    return compare(pairs, records, records, fields, threshold, model)
 
 
 def candidate_links(
     left: DataFrame, right: DataFrame, fields: Sequence[FieldSpec], threshold: float | None,
-    frequent: int = FREQUENT, limit: int = BLOCK_LIMIT,
+    frequent: int = FREQUENT, limit: int = BLOCK_LIMIT, model: PairModel | None = None,
 ) -> DataFrame:
-    """All candidate pairs across two (prepared) datasets, with features and score.
+    """All candidate pairs across two (prepared) datasets, with features and the model's or the fixed score.
 
     Without a threshold the rules alone decide who meets: every pair of a block.
     """
     a, b = block_members(left), block_members(right)
     if not threshold:
         met = a.select("key", F.col("record_id").alias("left_id")).join(b.select("key", F.col("record_id").alias("right_id")), "key")
-        return compare(met.select("left_id", "right_id").distinct(), left, right, fields, None)
+        return compare(met.select("left_id", "right_id").distinct(), left, right, fields, None, model)
     sizes = (
         a.groupBy("key").agg(F.count(F.lit(1)).alias("n_left"))
         .join(b.groupBy("key").agg(F.count(F.lit(1)).alias("n_right")), "key")
@@ -310,7 +312,7 @@ def candidate_links(
             signed.where("record_id.side = 0"), as_right(signed.where("record_id.side = 1")), threshold, F.lit(True)
         ).select(F.col("left_id.id").alias("left_id"), F.col("right_id.id").alias("right_id"))
         pairs = pairs.union(found).distinct()
-    return compare(pairs, left, right, fields, threshold)
+    return compare(pairs, left, right, fields, threshold, model)
 
 
 # --- choosing rules ---------------------------------------------------------------------

@@ -21,6 +21,7 @@ from kinmaster.operators.blocking import (
 )
 from kinmaster.operators.joins import join_back
 from kinmaster.operators.numbering import dense_number
+from kinmaster.operators.pair_model import PairModel, with_self_score
 from kinmaster.operators.records import collapse_copies
 from kinmaster.operators.reshape import to_front
 from kinmaster.operators.tiles import links_across
@@ -94,7 +95,7 @@ def _star(groups: DataFrame, key: str, salt: int | None = None) -> DataFrame:
 
 def _narrow(
     blocks: DataFrame, links: DataFrame, match: Callable[[DataFrame], DataFrame], nodes: DataFrame,
-    records: DataFrame, fields: Sequence[FieldSpec], score: float,
+    records: DataFrame, fields: Sequence[FieldSpec], score: float, model: PairModel | None = None,
 ) -> DataFrame:
     """``links`` and more, until no two records of a block that match are in different components.
 
@@ -107,7 +108,7 @@ def _narrow(
         blocks = _split(blocks.select("key", "record_id"), "key", materialise(connected_components(nodes, links), "components"))
         if blocks.isEmpty():
             return links
-    return links.unionByName(match(links_across(blocks, records, fields, score)))
+    return links.unionByName(match(links_across(blocks, records, fields, score, model=model)))
 
 
 def _split(groups: DataFrame, key: str, components: DataFrame) -> DataFrame:
@@ -126,7 +127,7 @@ def _split(groups: DataFrame, key: str, components: DataFrame) -> DataFrame:
 
 def spanning_links(
     records: DataFrame, fields: Sequence[FieldSpec], threshold: float | None, score: float,
-    frequent: int = FREQUENT, limit: int = BLOCK_LIMIT,
+    frequent: int = FREQUENT, limit: int = BLOCK_LIMIT, model: PairModel | None = None,
 ) -> DataFrame:
     """Scored links with the same components as all matching pairs.
 
@@ -148,7 +149,7 @@ def spanning_links(
         pairs = pairs.union(_star(large, "key")).distinct()
 
     def match(candidates: DataFrame) -> DataFrame:
-        scored = compare(candidates, records, records, fields, threshold).where(F.col("score") >= score)
+        scored = compare(candidates, records, records, fields, threshold, model).where(F.col("score") >= score)
         return materialise(scored.select("left_id", "right_id", "similarity", "score"), "matches")
 
     links = match(pairs)
@@ -161,7 +162,7 @@ def spanning_links(
         return links
     group = F.struct("key", "sig", "single").alias("group")
     if not threshold:
-        return _narrow(blocks, links, match, concerned, records, fields, score)
+        return _narrow(blocks, links, match, concerned, records, fields, score, model)
     signed = materialise(
         sign_members(blocks.withColumn("n_tokens", F.lit(0)), records, threshold, frequent).select("*", group), "signatures"
     )
@@ -179,15 +180,17 @@ def spanning_links(
 
 def cluster_records(
     records: DataFrame, fields: Sequence[FieldSpec], threshold: float | None, score: float = S.DEDUPE_THRESHOLD,
-    frequent: int = FREQUENT, limit: int = BLOCK_LIMIT,
+    frequent: int = FREQUENT, limit: int = BLOCK_LIMIT, model: PairModel | None = None,
 ) -> tuple[DataFrame, DataFrame, DataFrame]:
     """(clusters, representatives, copies) of prepared records.
 
     ``clusters`` gives every record the lowest record id of its cluster as
-    ``component``; a record that matches nothing is its own cluster.
+    ``component``; a record that matches nothing is its own cluster. With a ``model`` its
+    probability decides instead of the fixed weights.
     """
+    records = with_self_score(records, fields, model)
     reps, copies = collapse_copies(records, fields)
-    links = spanning_links(reps, fields, threshold, score, frequent, limit)
+    links = spanning_links(reps, fields, threshold, score, frequent, limit, model)
     components = connected_components(reps, links)
     linked = links.select(F.explode(F.array("left_id", "right_id")).alias("rep_id")).distinct()
     # Copies stay together if they match each other or a common other record.
@@ -256,7 +259,9 @@ def cluster_confidence(clusters: DataFrame, scored: DataFrame, copies: DataFrame
     )
 
 
-def representative_confidence(clusters: DataFrame, reps: DataFrame, copies: DataFrame, fields: Sequence[FieldSpec]) -> DataFrame:
+def representative_confidence(
+    clusters: DataFrame, reps: DataFrame, copies: DataFrame, fields: Sequence[FieldSpec], model: PairModel | None = None
+) -> DataFrame:
     """The same measure taken with the cluster's lowest record alone.
 
     Two records leave ``1 - sqrt((1 - score)^2)``, the score itself. One
@@ -265,7 +270,7 @@ def representative_confidence(clusters: DataFrame, reps: DataFrame, copies: Data
     rep_of = copies.select(F.col("record_id").alias("component"), F.col("rep_id").alias("left_id"))
     members = join_back(copies.join(clusters, "record_id"), rep_of, "component", "component")
     pairs = members.select("left_id", F.col("rep_id").alias("right_id")).where("left_id <> right_id").distinct()
-    scored = compare(pairs, reps, reps, fields, 0.0).select(F.struct("left_id", F.col("right_id").alias("rep_id")).alias("pair"), "score")
+    scored = compare(pairs, reps, reps, fields, 0.0, model).select(F.struct("left_id", F.col("right_id").alias("rep_id")).alias("pair"), "score")
     own = reps.select(F.col("record_id").alias("rep_id"), "self_score")
     confidence = (
         F.when(F.col("record_id") == F.col("component"), F.lit(1.0))

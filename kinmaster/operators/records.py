@@ -62,7 +62,7 @@ def with_words(df: DataFrame, fields: Sequence[FieldSpec], side: str = "") -> Da
     return df.withColumns({side + n: F.col(side + "tokens") for n in names if side + n not in df.columns})
 
 
-def _has_value(field: FieldSpec, side: str = "") -> Column:
+def field_present(field: FieldSpec, side: str = "") -> Column:
     if field.kind == "text":
         return F.size(F.col(side + _word_column(field))) > 0
     return _present(F.col(side + field.name))
@@ -70,10 +70,10 @@ def _has_value(field: FieldSpec, side: str = "") -> Column:
 
 def self_score(fields: Sequence[FieldSpec]) -> Column:
     """Score of a record against an exact copy of itself."""
-    gained = sum((F.when(_has_value(f), F.lit(f.weight)).otherwise(F.lit(0.0)) for f in fields), F.lit(0.0))
+    gained = sum((F.when(field_present(f), F.lit(f.weight)).otherwise(F.lit(0.0)) for f in fields), F.lit(0.0))
     counted = sum(
         (
-            F.when(_has_value(f), F.lit(f.weight)).otherwise(F.lit(0.0 if f.has_missing else f.weight))
+            F.when(field_present(f), F.lit(f.weight)).otherwise(F.lit(0.0 if f.has_missing else f.weight))
             for f in fields
         ),
         F.lit(0.0),
@@ -118,7 +118,7 @@ def feature_columns(fields: Sequence[FieldSpec], left: str = "left_", right: str
             value = edit_similarity(F.col(left + f.name), F.col(right + f.name))
         else:
             value = F.col(left + f.name).eqNullSafe(F.col(right + f.name)).cast("double")
-        both = _has_value(f, left) & _has_value(f, right)
+        both = field_present(f, left) & field_present(f, right)
         out[f"sim_{f.name}"] = F.when(both, F.round(value, 6)).otherwise(F.lit(0.0))
         out[f"missing_{f.name}"] = F.when(both, F.lit(0)).otherwise(F.lit(1))
     return out

@@ -11,6 +11,7 @@ from kinmaster import schema as S
 from kinmaster.functions.text import normalise_link_text, normalise_text, normalise_zip
 from kinmaster.operators import clustering, identity, intake, linkage, quality, refinement, review
 from kinmaster.operators.blocking import account_rules
+from kinmaster.operators.pair_model import PairModel
 from kinmaster.operators.records import prepare_records
 from kinmaster.operators.reshape import rename
 from kinmaster.schema import ACCOUNT_FIELDS, FieldSpec
@@ -44,18 +45,19 @@ def clean_for_linkage(df: DataFrame, fields: Sequence[FieldSpec] = ACCOUNT_FIELD
 def dedupe(
     accounts: DataFrame, record_id: str = "record_number", fields: Sequence[FieldSpec] = ACCOUNT_FIELDS,
     rules: Mapping[str, Column] | None = None, similarity: float | None = BLOCK_SIMILARITY,
-    threshold: float = S.DEDUPE_THRESHOLD, refine: float | None = None,
+    threshold: float = S.DEDUPE_THRESHOLD, refine: float | None = None, model: PairModel | None = None,
 ) -> DataFrame:
     """Accounts with ``cluster_id`` and ``confidence_score`` in front.
 
     Clusters are the components of all matches; with ``refine`` they are divided by average linkage at that score.
+    With a trained ``model`` its probability decides all through, else the fixed weights.
     """
     records = prepare_records(clean_for_dedupe(spread(accounts), fields), record_id, fields, rules or account_rules())
-    clusters, reps, copies = clustering.cluster_records(records, fields, similarity, threshold)
+    clusters, reps, copies = clustering.cluster_records(records, fields, similarity, threshold, model=model)
     clusters = materialise(clusters, "clusters")
     if refine is not None:
-        clusters = materialise(refinement.refine_clusters(clusters, reps, copies, fields, refine), "clusters")
-    confidence = clustering.representative_confidence(clusters, reps, copies, fields)
+        clusters = materialise(refinement.refine_clusters(clusters, reps, copies, fields, refine, model=model), "clusters")
+    confidence = clustering.representative_confidence(clusters, reps, copies, fields, model)
     return clustering.cluster_output(accounts, confidence, record_id)
 
 
@@ -63,11 +65,12 @@ def link(
     left: DataFrame, right: DataFrame, left_id: str, right_id: str, fields: Sequence[FieldSpec] = ACCOUNT_FIELDS,
     rules: Mapping[str, Column] | None = None, similarity: float | None = BLOCK_SIMILARITY,
     threshold: float = S.LINK_THRESHOLD, quality_gate: bool = False, comma: str = " ",
+    model: PairModel | None = None,
 ) -> tuple[DataFrame, DataFrame]:
     """(all rows of both inputs with their links, the linked pairs side by side).
 
     The excluded record type takes no part in matching, and with
-    ``quality_gate`` neither do right rows the gate rejects.
+    ``quality_gate`` neither do right rows the gate rejects. With a trained ``model`` its probability is the score.
     """
     usable_right = quality.exclude_type(right)
     if quality_gate:
@@ -75,7 +78,7 @@ def link(
     rules = rules or account_rules()
     a = prepare_records(clean_for_linkage(spread(quality.exclude_type(left)), fields, comma), left_id, fields, rules)
     b = prepare_records(clean_for_linkage(spread(usable_right), fields, comma), right_id, fields, rules)
-    links = materialise(linkage.link_records(a, b, fields, similarity, threshold), "links")
+    links = materialise(linkage.link_records(a, b, fields, similarity, threshold, model=model), "links")
     linked = materialise(linkage.link_output(left, right, links, left_id, right_id), "linked")
     return linked, linkage.pair_horizontal(linked)
 

@@ -672,3 +672,21 @@ ORACLE |= {
 ORACLE["attach_ids"] = f"""WITH {CLUSTERED}
 SELECT record_number, cluster_id, given_id FROM clustered
 LEFT JOIN (SELECT cluster_id, min(final_id) AS given_id FROM clustered WHERE starts_with(final_id, 'EMUSHCO') GROUP BY cluster_id) USING (cluster_id)"""
+
+
+def _model_score(a: str = "a", b: str = "b") -> str:
+    """Logistic score: similarities and missing values weigh alike wherever they occur."""
+    weights = {"name": 6.0, "address": 3.5, "city": -0.5, "state": 1.0, "zip": 1.5}
+    missing = {"address": 1.5, "city": 0.2, "state": 0.3, "zip": 0.8}
+    both = {c: f"({a}.{c} IS NOT NULL AND {b}.{c} IS NOT NULL)" for c in weights}
+    alike = {c: f"round(1 - levenshtein({a}.{c}, {b}.{c}) / greatest(length({a}.{c}), length({b}.{c})), 6)" for c in weights}
+    alike["state"] = f"({a}.state = {b}.state)::INT::DOUBLE"
+    terms = [f"CASE WHEN {both[c]} THEN 0 ELSE {w}::DOUBLE END" for c, w in missing.items()]
+    terms += [f"CASE WHEN {both[c]} THEN {alike[c]} ELSE 0 END * {w}::DOUBLE" for c, w in weights.items()]
+    return f"round(1 / (1 + exp(-(-6.0::DOUBLE + {' + '.join(terms)}))), 6)"
+
+
+ORACLE |= {
+    "model_dedupe": ORACLE["dedupe_accounts"].replace(_account_score(), _model_score()),
+    "model_links": ORACLE["link_accounts"].replace(_account_score(), _model_score()),
+}

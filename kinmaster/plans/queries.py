@@ -25,6 +25,7 @@ from kinmaster.operators import (
     intake,
     linkage,
     numbering,
+    pair_model,
     quality,
     records,
     refinement,
@@ -48,6 +49,11 @@ BETA = 0.5
 # Accounts are joined from 0.5 on and divided where they are not that much alike.
 REFINE_CUT = 0.6
 INDEX_COSINE = 0.7
+# A logistic scorer as one might have been trained before; one weight is below 0.
+STATED_MODEL = pair_model.PairModel(
+    intercept=-6.0, similar={"name": 6.0, "address": 3.5, "city": -0.5, "state": 1.0, "zip": 1.5},
+    missing={"address": 1.5, "city": 0.2, "state": 0.3, "zip": 0.8},
+)
 RUN_TIME = "2024-01-31 06:00:00"
 RECEIVED = "2024-01-31"
 
@@ -541,6 +547,40 @@ def review_accounts(spark, sf_dir):
     return mastering.label(_linked_accounts(spark, sf_dir)[0], ["source_file", "id"])
 
 
+@query
+def model_dedupe(spark, sf_dir):
+    """Clusters of accounts where a trained model decides, in small blocks and large ones."""
+    return mastering.dedupe(roles.accounts(spark, sf_dir), "id", model=STATED_MODEL)
+
+
+@query
+def model_links(spark, sf_dir):
+    """Links of the account datasets by a trained model's probability."""
+    left, right = roles.accounts(spark, sf_dir), roles.crm_accounts(spark, sf_dir)
+    return mastering.link(left, right, "id", "id", model=STATED_MODEL)[0]
+
+
+def learnt_model(spark, sf_dir):
+    """A model of labelled pairs. Accounts are known to be those of the supplier with a third of their number; of even thirds
+    that pair is a match, and the two suppliers after it are none."""
+    rules = blocking.account_rules()
+    left, right = (
+        records.prepare_records(mastering.clean_for_linkage(spread(side)), "id", ACCOUNT_FIELDS, rules)
+        for side in (roles.accounts(spark, sf_dir), roles.crm_accounts(spark, sf_dir))
+    )
+    known = left.where("(record_id div 3) % 2 = 0").selectExpr("record_id AS left_id", "explode(sequence(0, 2)) AS away")
+    labels = known.selectExpr("left_id", "left_id div 3 + away AS right_id", "CAST(away = 0 AS INT) AS is_match")
+    featured = materialise(scoring.labelled_features(labels, left, right, ACCOUNT_FIELDS), "labelled")
+    return pair_model.PairModel.of(scoring.train_scorer(featured, ACCOUNT_FIELDS))
+
+
+@query
+def learnt_links(spark, sf_dir):
+    """Labels joined to features, a model fitted, and the account datasets linked where it finds a match likely."""
+    left, right = roles.accounts(spark, sf_dir), roles.crm_accounts(spark, sf_dir)
+    return mastering.link(left, right, "id", "id", threshold=0.5, model=learnt_model(spark, sf_dir))[0]
+
+
 @query
 def versioned_set(spark, sf_dir):
     """Two versions of a set written, the newest one found again and read."""
