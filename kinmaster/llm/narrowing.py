@@ -43,7 +43,7 @@ def _ordered(pairs: DataFrame) -> DataFrame:
     return pairs.select(F.least("a", "b").alias("left_id"), F.greatest("a", "b").alias("right_id")).distinct()
 
 
-def _divided(lists: DataFrame, components: DataFrame) -> DataFrame:
+def divided(lists: DataFrame, components: DataFrame) -> DataFrame:
     """Members of lists in several components, with their component and the list's main one."""
     placed = lists.join(components, F.col("node") == F.col("record_id")).select("key", "node", "size", "component")
     main = (
@@ -54,6 +54,17 @@ def _divided(lists: DataFrame, components: DataFrame) -> DataFrame:
     return join_back(placed, main, "key", "key")
 
 
+def apart(rest: DataFrame, ratio: float) -> DataFrame:
+    """(left_id, right_id) of what is outside its list's main component with everyone of the list in another one."""
+    outside = rest.where("component <> main").select(
+        F.col("key").alias("k"), F.col("node").alias("a"), F.col("size").alias("own_size"), F.col("component").alias("own")
+    )
+    # Two outside meet once.
+    once = (F.col("component") == F.col("main")) | (F.col("a") < F.col("node"))
+    pair = (F.col("k") == F.col("key")) & (F.col("own") != F.col("component")) & once & _fits("own_size", "size", ratio)
+    return _ordered(outside.join(rest, pair).select("a", F.col("node").alias("b")))
+
+
 def component_links(
     lists: DataFrame, confirm: Callable[[DataFrame], DataFrame], ratio: float = 0.0, rounds: int = HUB_ROUNDS
 ) -> DataFrame:
@@ -71,15 +82,8 @@ def component_links(
         found = materialise(confirm(with_hub(rest.select("key", "node", "size"), salt, ratio)).select("left_id", "right_id"), "links")
         links = materialise(links.union(found).distinct(), "links") if salt else found
         components = materialise(connected_components(nodes, links), "components")
-        rest = materialise(_divided(rest.select("key", "node", "size"), components), "divided")
+        rest = materialise(divided(rest.select("key", "node", "size"), components), "divided")
         if rest.isEmpty():
             return links
-    # What is outside its list's main component, with everyone of the list in another one; two outside meet once.
-    outside = rest.where("component <> main").select(
-        F.col("key").alias("k"), F.col("node").alias("a"), F.col("size").alias("own_size"), F.col("component").alias("own")
-    )
-    once = (F.col("component") == F.col("main")) | (F.col("a") < F.col("node"))
-    apart = (F.col("k") == F.col("key")) & (F.col("own") != F.col("component")) & once & _fits("own_size", "size", ratio)
-    pairs = outside.join(rest, apart).select("a", F.col("node").alias("b"))
-    more = confirm(_ordered(pairs)).select("left_id", "right_id")
+    more = confirm(apart(rest, ratio)).select("left_id", "right_id")
     return materialise(links.union(more).distinct(), "links")

@@ -180,6 +180,49 @@ def test_near_duplicates_of_a_family_and_a_shared_passage(spark):
     check_near(spark, texts)
 
 
+@pytest.mark.parametrize("seed", [5, 6])
+def test_near_duplicates_of_copies_about_the_threshold(spark, seed):
+    rng = random.Random(seed)
+    texts, common = {}, [f"c{i}" for i in range(30)]
+    for family in range(4):
+        base = [f"f{family}w{i}" for i in range(150)]
+        for _ in range(70):  # up to 11 words changed, for new ones or for a few that others have too; some cut short
+            copy = list(base)
+            for _ in range(rng.randint(0, 11)):
+                copy[rng.randrange(150)] = rng.choice(common) if rng.random() < 0.5 else f"n{rng.random()}"
+            texts[len(texts)] = " ".join(copy[:150 - rng.choice([0, 0, 10, 25])])
+    passage = [f"p{i}" for i in range(100)]
+    for own in range(150):  # mostly one passage, in pairs of copies
+        start = [f"o{own // 2}x{i}" for i in range(8 + own % 40)]
+        texts[len(texts)] = " ".join(start + passage)
+    check_near(spark, texts)
+
+
+def test_pairs_of_a_crowded_list_are_not_formed(spark, monkeypatch):
+    rng = random.Random(9)
+    base = [f"w{i}" for i in range(150)]
+    rows = []
+    for i in range(600):  # most of a copy is the same text, and half of the copies are not similar to any other
+        copy = list(base)
+        for at in rng.sample(range(0, 150, 5), 2 if i % 2 else 7):
+            copy[at] = f"n{rng.random()}"
+        rows.append((i, " ".join(copy)))
+    looked = []
+    plain = near_dup.apart
+    monkeypatch.setattr(near_dup, "apart", lambda *a: looked.append(plain(*a).count()) or plain(*a))
+    kept = near_dup.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string").repartition(4), shingle=4).where("kept").count()
+    assert kept == 301
+    assert sum(looked) < 600
+
+
+def test_texts_of_one_id_are_one_document(spark):
+    a = " ".join(f"a{i}" for i in range(60))
+    b = " ".join(f"b{i}" for i in range(60))
+    df = spark.createDataFrame([(1, a), (1, b), (2, a + " x"), (3, b + " y"), (4, "c d e f")], "doc_id long, text string")
+    got = sorted((r["doc_id"], r["component_id"]) for r in near_dup.near_duplicates(df).collect())
+    assert got == [(1, 1), (1, 1), (2, 1), (3, 1), (4, 4)]
+
+
 def test_near_duplicates_edges(spark):
     df = spark.createDataFrame([(1, "a b c d e"), (None, "a b c d e"), (None, "a b c d e"), (2, "a b c d e"), (2, "a b c d e")], "doc_id long, text string")
     got = sorted(near_dup.near_duplicates(df).collect(), key=str)
