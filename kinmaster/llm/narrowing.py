@@ -45,7 +45,7 @@ def _ordered(pairs: DataFrame) -> DataFrame:
 
 def divided(lists: DataFrame, components: DataFrame) -> DataFrame:
     """Members of lists in several components, with their component and the list's main one."""
-    placed = lists.join(components, F.col("node") == F.col("record_id")).select("key", "node", "size", "component")
+    placed = lists.join(components, F.col("node") == F.col("record_id")).select(*lists.columns, "component")
     main = (
         placed.groupBy("key", "component").agg(F.count(F.lit(1)).alias("n"))
         .groupBy("key").agg(F.max_by("component", F.struct("n", "component")).alias("main"), F.count(F.lit(1)).alias("parts"))
@@ -54,15 +54,18 @@ def divided(lists: DataFrame, components: DataFrame) -> DataFrame:
     return join_back(placed, main, "key", "key")
 
 
-def apart(rest: DataFrame, ratio: float) -> DataFrame:
-    """(left_id, right_id) of what is outside its list's main component with everyone of the list in another one."""
-    outside = rest.where("component <> main").select(
-        F.col("key").alias("k"), F.col("node").alias("a"), F.col("size").alias("own_size"), F.col("component").alias("own")
-    )
+def apart(rest: DataFrame, ratio: float, may: Column | None = None) -> DataFrame:
+    """(left_id, right_id) of what is outside its list's main component with everyone of the list in another one.
+
+    ``may`` says more of a pair that can be a link; the columns of its one side are called ``own_``.
+    """
+    outside = rest.where("component <> main").select(*[F.col(c).alias(f"own_{c}") for c in rest.columns])
     # Two outside meet once.
-    once = (F.col("component") == F.col("main")) | (F.col("a") < F.col("node"))
-    pair = (F.col("k") == F.col("key")) & (F.col("own") != F.col("component")) & once & _fits("own_size", "size", ratio)
-    return _ordered(outside.join(rest, pair).select("a", F.col("node").alias("b")))
+    once = (F.col("component") == F.col("main")) | (F.col("own_node") < F.col("node"))
+    pair = (F.col("own_key") == F.col("key")) & (F.col("own_component") != F.col("component")) & once & _fits("own_size", "size", ratio)
+    if may is not None:
+        pair = pair & may
+    return _ordered(outside.join(rest, pair).select(F.col("own_node").alias("a"), F.col("node").alias("b")))
 
 
 def component_links(

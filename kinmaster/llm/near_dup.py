@@ -191,10 +191,11 @@ def open_members(members: DataFrame, common: DataFrame, percent: int) -> DataFra
 
 
 def rarest_shingles(members: DataFrame, common: DataFrame, percent: int) -> DataFrame:
-    """(key, node, size) lists of shingles: two similar sets of different components share one.
+    """(key, node, size, left) lists of shingles: two similar sets of different components share one.
 
     ``o`` shingles are common to similar sets, so they share one of the first ``a - o + 1`` of each in
     any order of all shingles: first those that one component alone has (they need no list), then the rarest.
+    ``left`` is how many of the set's come from this one on: of the first that two sets share, at least ``o``.
     """
     nodes = members.groupBy("node", "size").agg(F.min("least").alias("least"))
     entries = join_back(common, nodes.select("node"), "holder", "node", "left_semi").groupBy("holder").agg(
@@ -203,8 +204,10 @@ def rarest_shingles(members: DataFrame, common: DataFrame, percent: int) -> Data
     overlap = F.ceil(percent * (F.col("size") + F.col("least")) / (100 + percent) - 1e-9)
     # a - o + 1 in all, of which a - size(entries) need no list.
     keep = F.greatest(F.size("entries") - overlap + 1, F.lit(0)).cast("int")
-    prefix = entries.join(nodes, F.col("holder") == F.col("node")).select("node", "size", F.explode(F.slice("entries", F.lit(1), keep)).alias("entry"))
-    return prefix.select(F.col("entry.shingle").alias("key"), "node", "size")
+    prefix = entries.join(nodes, F.col("holder") == F.col("node")).select(
+        "node", "size", F.size("entries").alias("all"), F.posexplode(F.slice("entries", F.lit(1), keep)).alias("at", "entry")
+    )
+    return prefix.select(F.col("entry.shingle").alias("key"), "node", "size", (F.col("all") - F.col("at")).alias("left"))
 
 
 def collision_links(
@@ -231,7 +234,8 @@ def collision_links(
     links = materialise(links.union(found).distinct(), "links")
     members, common, components = left_open()
     merged = materialise(divided(rarest_shingles(members, common, percent), components), "merged")
-    more = confirm(apart(merged, similarity))
+    enough = (100 + percent) * F.least("own_left", "left") >= percent * (F.col("own_size") + F.col("size"))
+    more = confirm(apart(merged, similarity, enough))
     return materialise(links.union(more).distinct(), "links")
 
 
