@@ -335,3 +335,36 @@ def test_threshold_choice(spark):
     best = scoring.threshold_fbeta(df, beta=1.0).first()
     assert (best["threshold"], best["precision"], best["recall"]) == (0.65, 0.75, 1.0)
     assert scoring.threshold_fbeta(df, beta=0.1).first()["threshold"] == 0.85
+
+
+def test_unlike_records_of_a_block_form_no_pairs(spark, monkeypatch):
+    """Sketches tell them apart where they meet: only pairs that are similar go on to be compared in full."""
+    rng = random.Random(8)
+    rows = [(i, " ".join(f"w{rng.randint(0, 10**6)}" for _ in range(40)), "en") for i in range(90)]
+    rows.append((90, rows[7][1] + " more", "en"))
+    formed = []
+    compare = blocking.compare
+    monkeypatch.setattr(blocking, "compare", lambda pairs, *rest: formed.append(pairs.count()) or compare(pairs, *rest))
+    for limit in (100, 5):
+        found = blocking.candidate_pairs(prepared(spark, rows), FIELDS, THRESHOLD, limit=limit).collect()
+        assert [(r["left_id"], r["right_id"]) for r in found] == [(7, 90)]
+    assert formed == [1, 1]
+
+
+@pytest.mark.parametrize("tiled,frequent", [(20_000, 1000), (5, 8), (1, 0)])
+def test_tiles_and_signatures_find_the_same_pairs(spark, monkeypatch, tiled, frequent):
+    monkeypatch.setattr(blocking, "FACING", 7)
+    rows = make_texts(3, 150)
+    found = blocking.candidate_pairs(prepared(spark, rows), FIELDS, THRESHOLD, frequent, 1, tiled=tiled).collect()
+    got = {(r["left_id"], r["right_id"]): r["score"] for r in found}
+    assert len(got) == len(found)
+    assert got == pytest.approx(brute_pairs(rows), abs=2e-6)
+
+
+def test_no_record_is_sent_once_for_each_of_its_pairs(spark):
+    """A family's pairs stand in one group, where every record goes once."""
+    rec = prepared(spark, [(i, f"a b c d e f g h x{i}", "en") for i in range(30)], {"first": blocking.rule_first_chars("text", 1)})
+    pairs = blocking.pairs_within(blocking.sketch_members(blocking.block_members(rec), blocking.sketches(rec)), THRESHOLD)
+    assert pairs.count() == 435
+    assert pairs.select("key", "left_id").distinct().count() == 29
+    assert blocking.compare(pairs, rec, rec, FIELDS, THRESHOLD).count() == 435
