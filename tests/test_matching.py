@@ -1,12 +1,17 @@
 """Blocking, clustering and linkage against brute force on small fixtures."""
 
 import random
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
 
 from kinmaster.operators import blocking, clustering, linkage, records, scoring
+from kinmaster.plans import queries
 from kinmaster.schema import FieldSpec
+from kinmaster.session import materialise, release, workspace
+
+SMOKE = "/root/testdata/sf0.001"
 
 
 @pytest.fixture(scope="module", autouse=True)
@@ -368,3 +373,27 @@ def test_no_record_is_sent_once_for_each_of_its_pairs(spark):
     assert pairs.count() == 435
     assert pairs.select("key", "left_id").distinct().count() == 29
     assert blocking.compare(pairs, rec, rec, FIELDS, THRESHOLD).count() == 435
+
+
+def _tables(spark):
+    return {entry.name.rsplit("-", 1)[0] for entry in Path(workspace(spark)).iterdir()}
+
+
+def test_released_tables_leave_the_workspace_and_others_stay(spark, tmp_path):
+    kept = spark.range(5)
+    kept.write.parquet(f"{tmp_path}/kept")
+    table = materialise(kept, "short_lived")
+    assert "short_lived" in _tables(spark)
+    release(table.where("id > 2"))
+    release(spark.read.parquet(f"{tmp_path}/kept"))
+    assert "short_lived" not in _tables(spark)
+    assert spark.read.parquet(f"{tmp_path}/kept").count() == 5
+
+
+def test_scored_pairs_do_not_keep_the_records_beside_their_representatives(spark):
+    def records():
+        return {entry.name for entry in Path(workspace(spark)).iterdir() if entry.name.startswith("records-")}
+
+    before = records()
+    assert queries.score_pairs(spark, SMOKE).count() > 0
+    assert records() == before
