@@ -390,6 +390,17 @@ def test_released_tables_leave_the_workspace_and_others_stay(spark, tmp_path):
     assert spark.read.parquet(f"{tmp_path}/kept").count() == 5
 
 
+@pytest.mark.parametrize("name", ["pair_sample"])
+def test_scored_pairs_are_written_once_without_features(spark, name):
+    def written():
+        return {entry for entry in Path(workspace(spark)).iterdir() if entry.name.startswith("scored-")}
+
+    before = written()
+    assert queries.REGISTRY[name](spark, SMOKE).count() > 0
+    (table,) = written() - before
+    assert spark.read.parquet(str(table)).columns == ["left_id", "right_id", "score"]
+
+
 def test_scored_pairs_do_not_keep_the_records_beside_their_representatives(spark):
     def records():
         return {entry.name for entry in Path(workspace(spark)).iterdir() if entry.name.startswith("records-")}
