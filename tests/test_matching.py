@@ -390,7 +390,7 @@ def test_released_tables_leave_the_workspace_and_others_stay(spark, tmp_path):
     assert spark.read.parquet(f"{tmp_path}/kept").count() == 5
 
 
-@pytest.mark.parametrize("name", ["pair_sample"])
+@pytest.mark.parametrize("name", ["pair_sample", "cluster_confidence"])
 def test_scored_pairs_are_written_once_without_features(spark, name):
     def written():
         return {entry for entry in Path(workspace(spark)).iterdir() if entry.name.startswith("scored-")}
