@@ -11,9 +11,10 @@ Sets that are equal are one class; pairs are between classes, with a member tabl
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from kinmaster.operators.blocking import faced
 from kinmaster.operators.joins import join_back
 from kinmaster.operators.numbering import dense_number
 from kinmaster.session import materialise
@@ -102,17 +103,20 @@ def similar_sets(records: DataFrame, threshold: float) -> tuple[DataFrame, DataF
     weighted = materialise(weighted, "weighted")
     # A set rounded up to the threshold is let in by half a unit of the sixth decimal.
     least = max(threshold - 5e-7, 1e-9)
-    keys = materialise(prefixes(weighted, least).where(F.col("code") > lone), "prefixes")
-    left = keys.select("code", F.col("class_id").alias("left_id"), F.col("norm").alias("ln"))
-    right = keys.select("code", F.col("class_id").alias("right_id"), F.col("norm").alias("rn"))
-    # What is shared weighs at most as much as the lighter set.
-    fits = F.least("ln", "rn") >= F.greatest("ln", "rn") * (least * least - 1e-9)
-    met = left.join(right, "code").where((F.col("left_id") < F.col("right_id")) & fits).select("left_id", "right_id").distinct()
-    a = weighted.select(F.col("class_id").alias("left_id"), F.col("codes").alias("lc"), F.col("norm").alias("ln"))
-    b = weighted.select(F.col("class_id").alias("right_id"), F.col("codes").alias("rc"), F.col("norm").alias("rn"))
-    both = met.join(a, "left_id").join(b, "right_id")
-    product = squares(F.array_intersect("lc", "rc"))
-    cosine = F.round(product / (F.sqrt(F.col("ln")) * F.sqrt(F.col("rn"))), 6)
+    before = F.sum(_square(F.col("code"))).over(Window.partitionBy("class_id").orderBy("code").rowsBetween(Window.unboundedPreceding, -1))
+    keys = prefixes(weighted, least).withColumn("left_over", F.col("norm") - F.coalesce(before, F.lit(0)))
+    keys = materialise(keys.where(F.col("code") > lone), "prefixes")
+    left = keys.select("code", F.col("class_id").alias("left_id"), F.col("norm").alias("ln"), F.col("left_over").alias("lo"))
+    right = keys.select("code", F.col("class_id").alias("right_id"), F.col("norm").alias("rn"), F.col("left_over").alias("ro"))
+    # Two sets share, from their first common token on, at most what either has left there.
+    fits = F.least("lo", "ro") >= F.sqrt("ln") * F.sqrt("rn") * (least - 1e-9)
+    once = (F.col("left_id") < F.col("right_id")) & fits
+    met = left.join(right, "code").where(once).groupBy("left_id", "right_id").agg(F.min("code").alias("key"))
+    # A set goes once to each group of pairs (those met at one token), not once for each of its pairs.
+    sets = weighted.select(F.col("class_id").alias("record_id"), "codes", "norm")
+    both = faced(met, sets, sets)
+    product = squares(F.array_intersect("left_codes", "right_codes"))
+    cosine = F.round(product / (F.sqrt(F.col("left_norm")) * F.sqrt(F.col("right_norm"))), 6)
     return both.select("left_id", "right_id", cosine.alias("cosine")).where(F.col("cosine") >= threshold), members
 
 

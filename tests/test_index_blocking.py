@@ -3,10 +3,12 @@
 import math
 import random
 from collections import Counter
+from pathlib import Path
 
 import pytest
 
 from kinmaster.operators import index_blocking as index
+from kinmaster.session import workspace
 
 
 def brute(rows, threshold):
@@ -67,3 +69,20 @@ def test_keys_join_similar_classes(spark):
 def test_empty(spark):
     pairs, members = index.similar_sets(spark.createDataFrame([], "record_id long, tokens array<long>"), 0.5)
     assert pairs.count() == 0 and members.count() == 0
+
+
+def test_sets_go_to_groups_of_pairs(spark):
+    def written():
+        return {e for e in Path(workspace(spark)).iterdir() if e.name.startswith("pairs-")}
+
+    # All share the token "all"; the first two have the rare ones in common as well.
+    rows = [(0, ["all", "x", "y", "z"]), (1, ["all", "x", "y", "w"])] + [(i, ["all", f"a{i}", f"b{i}"]) for i in range(2, 40)]
+    records = spark.createDataFrame(rows, "record_id long, words array<string>").selectExpr(
+        "record_id", "transform(words, w -> xxhash64(w)) AS tokens"
+    )
+    before = written()
+    found = index.similar_sets(records, 0.5)[0].collect()
+    assert [(r["left_id"], r["right_id"]) for r in found] == [(0, 1)]
+    (table,) = written() - before
+    pairs = spark.read.parquet(str(table))
+    assert pairs.columns == ["left_id", "right_id", "key"] and pairs.count() == 1
