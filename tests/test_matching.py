@@ -7,6 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from kinmaster.operators import blocking, clustering, linkage, records, scoring
+from kinmaster.operators.pair_model import PairModel
 from kinmaster.plans import queries
 from kinmaster.schema import FieldSpec
 from kinmaster.session import materialise, release, workspace
@@ -408,3 +409,50 @@ def test_scored_pairs_do_not_keep_the_records_beside_their_representatives(spark
     before = records()
     assert queries.score_pairs(spark, SMOKE).count() > 0
     assert records() == before
+
+
+def test_a_family_of_near_copies_is_linked_by_few_comparisons(spark, monkeypatch):
+    rng = random.Random(5)
+    words = [f"w{i}" for i in range(80)]
+    family = []
+    for i in range(80):
+        text = words[:]
+        for place in rng.sample(range(80), rng.randint(1, 6)):
+            text[place] = f"x{rng.randint(0, 400)}"
+        family.append((i, " ".join(["start", *text]), rng.choice(["en", "fr", None])))
+    left, right = family[:40], family[40:]
+    formed = []
+    compare = blocking.compare
+    monkeypatch.setattr(linkage, "compare", lambda pairs, *rest: formed.append(pairs.count()) or compare(pairs, *rest))
+    rules = {"first": blocking.rule_first_token("text")}
+    out = linkage.link_records(prepared(spark, left, rules), prepared(spark, right, rules), FIELDS, THRESHOLD, 0.1).collect()
+    want = {}
+    for a in left:
+        best = min((-score(a, b), b[0]) for b in right if jaccard(a[1], b[1]) >= THRESHOLD)
+        want[a[0]] = (best[1], pytest.approx(-best[0], abs=2e-6))
+    assert {r["left_id"]: (r["right_id"], r["score"]) for r in out} == want
+    # Of 1,600 similar pairs.
+    assert sum(formed) < 400
+
+
+@pytest.mark.parametrize("model", [None, PairModel(-3.0, {"text": 5.0, "lang": 1.0}, {"lang": 0.5}), PairModel(1.0, {"text": -2.0, "lang": 1.0}, {})])
+def test_no_score_is_above_its_bound(spark, model):
+    rows = make_texts(11, 90)
+    a, b = prepared(spark, rows[:45]), prepared(spark, rows[45:])
+    bounds = blocking.fitting_links(a, b, FIELDS, THRESHOLD, model=model)
+    scored = blocking.candidate_links(a, b, FIELDS, THRESHOLD, model=model).select("left_id", "right_id", "score")
+    both = scored.join(bounds, ["left_id", "right_id"])
+    assert both.count() == scored.count() > 20
+    assert both.where("score > bound").count() == 0
+
+
+def test_many_pairs_of_one_group_are_dealt_to_several_tasks(spark, monkeypatch):
+    monkeypatch.setattr(blocking, "CELL", 20)
+    rows = make_texts(12, 90)
+    rec = materialise(prepared(spark, rows), "rec")
+    ids = [r[0] for r in rows if r[1]]
+    pairs = [(a, b, 1) for a in ids for b in ids if a < b]
+    found = blocking.compare(spark.createDataFrame(pairs, "left_id bigint, right_id bigint, key bigint"), rec, rec, FIELDS, THRESHOLD).collect()
+    got = {(r["left_id"], r["right_id"]): r["score"] for r in found}
+    assert len(got) == len(found)
+    assert got == pytest.approx(brute_pairs(rows), abs=2e-6)
