@@ -456,3 +456,13 @@ def test_many_pairs_of_one_group_are_dealt_to_several_tasks(spark, monkeypatch):
     got = {(r["left_id"], r["right_id"]): r["score"] for r in found}
     assert len(got) == len(found)
     assert got == pytest.approx(brute_pairs(rows), abs=2e-6)
+
+
+def test_minhash_members_have_the_keys_of_the_rule_and_records_are_not_written_again(spark):
+    rec = prepared(spark, make_texts(13, 60))
+    ruled = blocking.block_members(rec.withColumn("keys", F.array_distinct(blocking.minhash_rule(F.col("tokens"), 4, 2))))
+    got = sorted(map(tuple, blocking.minhash_members(rec, 4, 2).collect()))
+    assert len(got) > 100 and got == sorted(map(tuple, ruled.collect()))
+    before = set(Path(workspace(spark).removeprefix("file:")).iterdir())
+    blocking.minhash_pairs(rec, FIELDS, 0.4).count()
+    assert not [p for p in set(Path(workspace(spark).removeprefix("file:")).iterdir()) - before if p.name.startswith("banded")]
