@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from kinmaster.operators import blocking, clustering, linkage, records, scoring
 from kinmaster.operators.pair_model import PairModel
-from kinmaster.plans import queries
+from kinmaster.plans import queries, roles
 from kinmaster.schema import FieldSpec
 from kinmaster.session import materialise, release, workspace
 
@@ -466,3 +466,11 @@ def test_minhash_members_have_the_keys_of_the_rule_and_records_are_not_written_a
     before = set(Path(workspace(spark).removeprefix("file:")).iterdir())
     blocking.minhash_pairs(rec, FIELDS, 0.4).count()
     assert not [p for p in set(Path(workspace(spark).removeprefix("file:")).iterdir()) - before if p.name.startswith("banded")]
+
+
+def test_rule_coverage_reads_the_texts_once(spark, monkeypatch):
+    read = []
+    documents = roles.documents
+    monkeypatch.setattr(roles, "documents", lambda *args: read.append(args) or documents(*args))
+    assert queries.rule_coverage(spark, SMOKE).count() == 5
+    assert len(read) == 1
