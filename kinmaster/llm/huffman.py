@@ -17,7 +17,7 @@ import heapq
 import re
 import zlib
 from array import array
-from collections.abc import Iterator, Sequence
+from collections.abc import Iterable, Iterator, Sequence
 from itertools import accumulate, chain
 
 import numpy as np
@@ -33,6 +33,8 @@ MAX_BITS = 16
 TOKENIZER = "byte_bpe_50k.json"
 # Documents whose ids are coded as one row of a part: about so many ids.
 ROW_IDS = 1 << 19
+# Ids whose codes are laid into the stream at once.
+STEP_IDS = 1 << 15
 # Token ids of this many distinct pieces of text, and of as many older ones, are remembered by a Python worker, if a
 # piece has at most that many characters: about 90 MB in all, 150 bytes a piece.
 REMEMBERED = 300_000
@@ -288,13 +290,14 @@ class Code:
         starts = ends - bits
         total = int(ends[-1]) if len(ids) else 0
         words = np.zeros(total // 32 + 3, dtype=np.uint64)
-        if len(ids):
-            # A code begins in one 32-bit word and may reach into the next. Codes
-            # of one word have different bits, so their sum is their union; every
-            # word has one, as codes are no longer than 16 bits.
-            shift = (64 - (starts & 31) - bits).astype(np.uint64)
-            at = starts >> 5
-            placed = self.codes[ids] << shift
+        # A code begins in one 32-bit word and may reach into the next. Codes
+        # of one word have different bits, so their sum is their union; every
+        # word has one, as codes are no longer than 16 bits. Some ids at a time: their arrays stay in the cache.
+        for i in range(0, len(ids), STEP_IDS):
+            some = slice(i, i + STEP_IDS)
+            shift = (64 - (starts[some] & 31) - bits[some]).astype(np.uint64)
+            at = starts[some] >> 5
+            placed = self.codes[ids[some]] << shift
             first = np.flatnonzero(np.diff(at, prepend=-1))
             sums = np.add.reduceat(placed, first)
             words[at[first]] |= sums >> np.uint64(32)
@@ -373,18 +376,30 @@ def unsqueeze(data: bytes) -> np.ndarray:
     return np.frombuffer(zstandard.ZstdDecompressor().decompress(data[1:]), dtype=f"<u{data[0]}")
 
 
+def vocabulary_counts(documents: Iterable[np.ndarray]) -> np.ndarray:
+    """How often each id from 0 on occurs; many documents at once, as every count is as long as the vocabulary."""
+    total = np.zeros(0, dtype=np.int64)
+
+    def with_counts(some: list[np.ndarray]) -> np.ndarray:
+        seen = np.bincount(np.concatenate(some))
+        longest = max(len(seen), len(total))
+        return np.pad(total, (0, longest - len(total))) + np.pad(seen, (0, longest - len(seen)))
+
+    some, held = [], 0
+    for ids in documents:
+        some.append(ids)
+        held += len(ids)
+        if held >= ROW_IDS or len(some) >= ROW_IDS:
+            total, some, held = with_counts(some), [], 0
+    return with_counts(some) if some else total
+
+
 def id_counts(tokens: DataFrame) -> dict[int, int]:
     """How often each id occurs; one row per id comes to the driver, at most the vocabulary."""
     import pyarrow as pa
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros(0, dtype=np.int64)
-        for batch in batches:
-            for ids in batch.column("ids"):
-                seen = np.bincount(unsqueeze(ids.as_py()))
-                if len(seen) > len(total):
-                    total = np.concatenate((total, np.zeros(len(seen) - len(total), dtype=np.int64)))
-                total[: len(seen)] += seen
+        total = vocabulary_counts(unsqueeze(ids.as_py()) for batch in batches for ids in batch.column("ids"))
         there = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(there, pa.int64()), pa.array(total[there], pa.int64())], ["id", "n"])
 

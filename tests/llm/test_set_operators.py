@@ -5,7 +5,7 @@ import itertools
 import random
 import re
 import zlib
-from collections import defaultdict
+from collections import Counter, defaultdict
 
 import numpy as np
 import public_tokenizers
@@ -45,6 +45,18 @@ def test_pieces_give_the_ids_of_whole_texts():
     assert encoder.by_piece and encoder.encode(texts) == want
 
 
+def test_ids_of_many_documents_are_counted_at_once(monkeypatch):
+    rng = np.random.default_rng(3)
+    documents = [rng.integers(0, 50_000, rng.integers(0, 20)).astype("<u2") for _ in range(3000)]
+    calls, bincount = [], np.bincount
+    monkeypatch.setattr(huffman, "ROW_IDS", 10_000)
+    monkeypatch.setattr(huffman.np, "bincount", lambda ids: calls.append(len(ids)) or bincount(ids))
+    counts = huffman.vocabulary_counts(iter(documents))
+    assert {i: int(counts[i]) for i in np.flatnonzero(counts).tolist()} == Counter(np.concatenate(documents).tolist())
+    assert len(calls) <= sum(map(len, documents)) // 10_000 + 1
+    assert len(huffman.vocabulary_counts(iter([]))) == 0
+
+
 @pytest.mark.parametrize("case", range(12))
 def test_code_round_trip(case):
     rng = np.random.default_rng(case)
