@@ -64,12 +64,12 @@ class Signer:
         return least
 
 
-def _sets(batch, text_col: str, size: int) -> Iterator[np.ndarray]:
-    for _, parts in chunks(t.as_py() for t in batch.column(text_col)):
+def _sets(batch, text_col: str, size: int) -> Iterator[tuple[int, list[np.ndarray]]]:
+    """(first row, sets) of some rows at a time: the sets of a whole batch are several times its texts."""
+    for first, parts in chunks(t.as_py() for t in batch.column(text_col)):
         hashes, counts = word_hashes(parts, TABLE)
         ends = np.cumsum(counts)
-        for end, count in zip(ends.tolist(), counts.tolist(), strict=True):
-            yield shingle_hashes(hashes[end - count:end], size)
+        yield first, [shingle_hashes(hashes[end - count:end], size) for end, count in zip(ends.tolist(), counts.tolist(), strict=True)]
 
 
 def _name(shingles: np.ndarray) -> tuple[np.int64, np.int64]:
@@ -85,16 +85,14 @@ def sketch(docs: DataFrame, shingle: int = SHINGLE, coordinates: int = COORDINAT
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         signer = Signer(coordinates)
         for batch in batches:
-            sizes, names, signatures = [], [], []
-            for s in _sets(batch, text_col, shingle):
-                sizes.append(len(s))
-                names.append(_name(s))
-                signatures.append(signer.sign(s).astype(np.int64) if len(s) else None)
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(id_col), pa.array(sizes, pa.int64()), pa.array([n[0] for n in names], pa.int64()),
-                 pa.array([n[1] for n in names], pa.int64()), pa.array(signatures, pa.list_(pa.int64()))],
-                ["doc_id", "n_shingles", "set_a", "set_b", "signature"],
-            )
+            for first, sets in _sets(batch, text_col, shingle):
+                names = [_name(s) for s in sets]
+                signatures = [signer.sign(s).astype(np.int64) if len(s) else None for s in sets]
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column(id_col).slice(first, len(sets)), pa.array([len(s) for s in sets], pa.int64()), pa.array([n[0] for n in names], pa.int64()),
+                     pa.array([n[1] for n in names], pa.int64()), pa.array(signatures, pa.list_(pa.int64()))],
+                    ["doc_id", "n_shingles", "set_a", "set_b", "signature"],
+                )
 
     return docs.select(F.col(id_col).cast("bigint").alias(id_col), text_col).mapInArrow(
         sign, "doc_id bigint, n_shingles bigint, set_a bigint, set_b bigint, signature array<bigint>"
@@ -107,13 +105,13 @@ def whole_sets(docs: DataFrame, shingle: int, text_col: str) -> DataFrame:
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            sets = list(_sets(batch, text_col, shingle))
-            names = [_name(s) for s in sets]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([n[0] for n in names], pa.int64()), pa.array([n[1] for n in names], pa.int64()),
-                 pa.array([s.astype(np.int64) for s in sets], pa.list_(pa.int64()))],
-                ["set_a", "set_b", "shingles"],
-            )
+            for _, sets in _sets(batch, text_col, shingle):
+                names = [_name(s) for s in sets]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([n[0] for n in names], pa.int64()), pa.array([n[1] for n in names], pa.int64()),
+                     pa.array([s.astype(np.int64) for s in sets], pa.list_(pa.int64()))],
+                    ["set_a", "set_b", "shingles"],
+                )
 
     return docs.select(text_col).mapInArrow(read, "set_a bigint, set_b bigint, shingles array<bigint>")
 

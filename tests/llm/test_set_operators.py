@@ -9,6 +9,7 @@ from collections import Counter, defaultdict
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
@@ -244,6 +245,30 @@ def test_near_duplicates_edges(spark):
     assert near_dup.near_duplicates(df.limit(0)).count() == 0
 
 
+class _Batches:
+    """Stands for a DataFrame of given Arrow batches."""
+
+    def __init__(self, batches):
+        self.batches = batches
+
+    def select(self, *columns):
+        return self
+
+    def mapInArrow(self, function, schema):
+        return list(function(iter(self.batches)))
+
+
+def test_sets_leave_a_task_in_small_batches(spark):
+    texts = [" ".join(f"w{i * k % 977}" for k in range(4000)) for i in range(400)] + [None, ""]
+    docs = _Batches([pa.RecordBatch.from_arrays([pa.array(range(402)), pa.array(texts)], ["doc_id", "text"])])
+    sets, signed = near_dup.whole_sets(docs, 5, "text"), near_dup.sketch(docs)
+    for found in (sets, signed):
+        assert sum(b.num_rows for b in found) == 402 and max(b.num_rows for b in found) <= 200
+    assert [i for b in signed for i in b.column("doc_id").to_pylist()] == list(range(402))
+    names = [[n for b in found for n in zip(b["set_a"].to_pylist(), b["set_b"].to_pylist(), strict=True)] for found in (sets, signed)]
+    assert names[0] == names[1]
+
+
 def test_mix(spark):
     rng = random.Random(3)
     rows = [(i, " ".join("w" * rng.randint(0, 40)), f"s{min(i % 9, 5)}" if i % 10 else None) for i in range(600)]
