@@ -4,7 +4,8 @@ A value is the set of its words or character grams, each weighted by how rare it
 Of two sets with a cosine of at least ``t`` the rarest common token stands, in both, before the point
 from which a set's remaining weights have a norm below ``t``: were it later in one, everything
 they share would be too little. So only these prefixes, the rarest tokens, are joined, and no
-pair is missed. Weights are whole numbers, hence norms and products exact.
+pair is missed. Weights are whole numbers, hence norms and products exact. Of the pairs that meet, those go on that what their
+prefixes share and the rest of the one that ends first allow.
 
 Sets that are equal are one class; pairs are between classes, with a member table beside.
 """
@@ -17,11 +18,13 @@ from pyspark.sql import functions as F
 from kinmaster.operators.blocking import faced
 from kinmaster.operators.joins import join_back
 from kinmaster.operators.numbering import dense_number
-from kinmaster.session import materialise
+from kinmaster.session import materialise, release
 
 # Weights are log(1 + N / df) in these parts, so they have fewer than these bits.
 PARTS = 1000
 WEIGHT_BITS = 17
+# Codes of so many of the most frequent tokens, which are most of all occurrences, are broadcast: a fixed number of rows.
+MOST_FREQUENT = 1 << 15
 
 
 def token_weight(total: str | Column, df: str | Column) -> Column:
@@ -57,9 +60,15 @@ def weighted_tokens(classes: DataFrame) -> tuple[DataFrame, int]:
     placed = dense_number(counts, ["df", "token"], "place")
     code = F.shiftleft("place", WEIGHT_BITS) + token_weight(F.lit(total), "df")
     coded = materialise(placed.select(F.col("token").alias("t"), code.alias("code"), "df"), "token_codes")
-    rows = join_back(exploded.select("class_id", "token"), coded.select("t", "code"), "token", "t")
+    known = coded.agg(F.coalesce(F.max(F.when(F.col("df") == 1, F.col("code"))), F.lit(0).cast("bigint")).alias("lone"), F.count(F.lit(1)).alias("n")).first()
+    lone = known["lone"]
+    # Places are counted from the rarest token on.
+    frequent = F.shiftright("code", WEIGHT_BITS) >= known["n"] - MOST_FREQUENT
+    sent = F.broadcast(coded.where(frequent).select("t", "code"))
+    tokens, here = exploded.select("class_id", "token"), F.col("token") == F.col("t")
+    rows = join_back(tokens.join(sent, here, "left_anti"), coded.where(~frequent).select("t", "code"), "token", "t")
+    rows = rows.select("class_id", "code").union(tokens.join(sent, here).select("class_id", "code"))
     ordered = rows.groupBy("class_id").agg(F.sort_array(F.collect_list("code")).alias("codes"))
-    lone = coded.where("df = 1").agg(F.coalesce(F.max("code"), F.lit(0).cast("bigint")).alias("lone")).first()["lone"]
     return ordered.withColumn("norm", squares(F.col("codes"))), lone
 
 
@@ -72,8 +81,8 @@ def squares(codes: Column) -> Column:
     return F.aggregate(codes, F.lit(0).cast("bigint"), lambda s, c: s + _square(c))
 
 
-def prefixes(weighted: DataFrame, threshold: float) -> DataFrame:
-    """(class_id, norm, code): the rarest tokens of each set, one of which any similar set shares.
+def heads_of(weighted: DataFrame, threshold: float) -> DataFrame:
+    """(class_id, norm, codes, tail): the rarest tokens of each set, one of which any similar set shares; squares of the others add up to ``tail``.
 
     Sums run from the frequent end; a token belongs to the prefix if it and what follows reach the threshold.
     """
@@ -86,35 +95,55 @@ def prefixes(weighted: DataFrame, threshold: float) -> DataFrame:
         ),
         lambda s: s["n"],
     )
-    return weighted.select("class_id", "norm", F.explode(F.slice("codes", F.lit(1), F.size("codes") - ends)).alias("code"))
+    head = weighted.withColumn("codes", F.slice("codes", F.lit(1), F.size("codes") - ends))
+    return head.select("class_id", "norm", "codes", (F.col("norm") - squares(F.col("codes"))).alias("tail"))
+
+
+def prefixes(weighted: DataFrame, threshold: float) -> DataFrame:
+    """(class_id, norm, code): the tokens of ``heads_of`` one by one."""
+    return heads_of(weighted, threshold).select("class_id", "norm", F.explode("codes").alias("code"))
 
 
-def similar_sets(records: DataFrame, threshold: float) -> tuple[DataFrame, DataFrame]:
+def similar_sets(records: DataFrame, threshold: float, spent: bool = False) -> tuple[DataFrame, DataFrame]:
     """((left_id, right_id, cosine) between classes, (record_id, class_id)) for all cosines of at least ``threshold``.
 
     ``records`` has ``record_id`` (unique) and ``tokens``. Cosines are of rarity weights, to
     six decimals; the threshold is held against that value. Equal sets are one class, empty ones are in none. A class is
-    named by its lowest record, pairs have the lower one left.
+    named by its lowest record, pairs have the lower one left. Written ``records`` that are ``spent`` are removed once read.
     """
     if not 0.0 < threshold <= 1.0:
         raise ValueError("the threshold must be above 0 and at most 1")
     classes, members = token_classes(records)
+    if spent:
+        release(records)
     weighted, lone = weighted_tokens(classes)
     weighted = materialise(weighted, "weighted")
+    release(classes)
     # A set rounded up to the threshold is let in by half a unit of the sixth decimal.
     least = max(threshold - 5e-7, 1e-9)
+    heads = materialise(heads_of(weighted, least), "heads")
     before = F.sum(_square(F.col("code"))).over(Window.partitionBy("class_id").orderBy("code").rowsBetween(Window.unboundedPreceding, -1))
-    keys = prefixes(weighted, least).withColumn("left_over", F.col("norm") - F.coalesce(before, F.lit(0)))
+    keys = heads.select("class_id", "norm", F.explode("codes").alias("code"))
+    keys = keys.withColumn("left_over", F.col("norm") - F.coalesce(before, F.lit(0)))
     keys = materialise(keys.where(F.col("code") > lone), "prefixes")
     left = keys.select("code", F.col("class_id").alias("left_id"), F.col("norm").alias("ln"), F.col("left_over").alias("lo"))
     right = keys.select("code", F.col("class_id").alias("right_id"), F.col("norm").alias("rn"), F.col("left_over").alias("ro"))
     # Two sets share, from their first common token on, at most what either has left there.
     fits = F.least("lo", "ro") >= F.sqrt("ln") * F.sqrt("rn") * (least - 1e-9)
     once = (F.col("left_id") < F.col("right_id")) & fits
-    met = left.join(right, "code").where(once).groupBy("left_id", "right_id").agg(F.min("code").alias("key"))
-    # A set goes once to each group of pairs (those met at one token), not once for each of its pairs.
+    met = left.join(right, "code").where(once).select("left_id", "right_id").distinct().withColumn("key", F.col("left_id"))
+    # Where the prefix that ends first ends, all that they share is known, and beyond they share at most that one's tail.
+    fronts = heads.select(F.col("class_id").alias("record_id"), "codes", "norm", "tail")
+    fronts = faced(met, fronts, fronts, "fronts")
+    release(keys)
+    ends_first = F.element_at("left_codes", -1) <= F.element_at("right_codes", -1)
+    most = squares(F.array_intersect("left_codes", "right_codes")) + F.when(ends_first, F.col("left_tail")).otherwise(F.col("right_tail"))
+    reaching = fronts.where(most >= F.sqrt("left_norm") * F.sqrt("right_norm") * (least - 1e-9))
+    # A set goes once to each group of pairs, not once for each of its pairs.
     sets = weighted.select(F.col("class_id").alias("record_id"), "codes", "norm")
-    both = faced(met, sets, sets)
+    both = faced(reaching.select("left_id", "right_id", F.col("left_id").alias("key")), sets, sets)
+    release(heads)
+    release(weighted)
     product = squares(F.array_intersect("left_codes", "right_codes"))
     cosine = F.round(product / (F.sqrt(F.col("left_norm")) * F.sqrt(F.col("right_norm"))), 6)
     return both.select("left_id", "right_id", cosine.alias("cosine")).where(F.col("cosine") >= threshold), members

@@ -86,3 +86,24 @@ def test_sets_go_to_groups_of_pairs(spark):
     (table,) = written() - before
     pairs = spark.read.parquet(str(table))
     assert pairs.columns == ["left_id", "right_id", "key"] and pairs.count() == 1
+
+
+def test_whole_sets_are_sent_where_prefixes_allow_it(spark):
+    def written():
+        return {e for e in Path(workspace(spark)).iterdir() if e.name.startswith("pairs-")}
+
+    # One rare token of ten in common, the rarest but for those of one set alone: they meet, and their prefixes say no.
+    rows = [(i, [100 + 10 * i + j for j in range(9)] + [50]) for i in (0, 1)] + [(i, [100 + 10 * (i - 2) + j for j in range(9)] + [1000 + i]) for i in (2, 3)]
+    before = written()
+    found = {(r[0], r[1]): r[2] for r in index.similar_sets(spark.createDataFrame(rows, "record_id long, tokens array<long>"), 0.7)[0].collect()}
+    assert found == brute(rows, 0.7)[0]
+    (table,) = written() - before
+    assert spark.read.parquet(str(table)).where("left_id = 0 AND right_id = 1").isEmpty()
+
+
+def test_codes_of_frequent_tokens(spark, monkeypatch):
+    rows = rows_of(7)
+    classes, _ = index.token_classes(spark.createDataFrame(rows, "record_id long, tokens array<long>"))
+    want = {r["class_id"]: r["codes"] for r in index.weighted_tokens(classes)[0].collect()}
+    monkeypatch.setattr(index, "MOST_FREQUENT", 3)
+    assert {r["class_id"]: r["codes"] for r in index.weighted_tokens(classes)[0].collect()} == want
