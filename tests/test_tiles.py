@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from kinmaster.operators import clustering, linkage, tiles
-from kinmaster.operators.blocking import account_rules
+from kinmaster.operators.blocking import account_rules, compare
 from kinmaster.operators.records import prepare_records
 from kinmaster.schema import ACCOUNT_FIELDS, FieldSpec
 from tests.test_accounts import COLUMNS, all_scored, components
@@ -90,3 +90,13 @@ def test_blank_values_and_text_fields(spark):
     found = {r["left_id"]: (r["right_id"], r["score"]) for r in got.collect()}
     assert found["a"] == ("b", 0.6) and found["b"] == ("b", 1.0) and found["e"] == ("e", 1.0)
     assert "d" not in found and "c" not in found
+
+
+def test_edit_distances_are_compiled_and_worked_out_once(spark):
+    records = prepared(spark, accounts(30, 5))
+    pairs = records.selectExpr("record_id AS left_id").crossJoin(records.selectExpr("record_id AS right_id"))
+    tested = compare(pairs, records, records, ACCOUNT_FIELDS, None).where("score >= 0.5")
+    assert tested._jdf.queryExecution().optimizedPlan().toString().count("levenshtein(") == 4
+    members = records.select(F.lit("k").alias("key"), "record_id")
+    best = tiles.best_in_blocks(members.withColumn("wanted", F.lit(0.3)), members, records, records, ACCOUNT_FIELDS)
+    assert "lambdafunction" not in best._jdf.queryExecution().optimizedPlan().toString()
