@@ -131,17 +131,17 @@ def similar_sets(records: DataFrame, threshold: float, spent: bool = False) -> t
     # Two sets share, from their first common token on, at most what either has left there.
     fits = F.least("lo", "ro") >= F.sqrt("ln") * F.sqrt("rn") * (least - 1e-9)
     once = (F.col("left_id") < F.col("right_id")) & fits
-    met = left.join(right, "code").where(once).select("left_id", "right_id").distinct().withColumn("key", F.col("left_id"))
+    met = left.join(right, "code").where(once).select("left_id", "right_id").distinct()
     # Where the prefix that ends first ends, all that they share is known, and beyond they share at most that one's tail.
     fronts = heads.select(F.col("class_id").alias("record_id"), "codes", "norm", "tail")
-    fronts = faced(met, fronts, fronts, "fronts")
+    fronts = faced(met, fronts, fronts, "fronts", lowest=True)
     release(keys)
     ends_first = F.element_at("left_codes", -1) <= F.element_at("right_codes", -1)
     most = squares(F.array_intersect("left_codes", "right_codes")) + F.when(ends_first, F.col("left_tail")).otherwise(F.col("right_tail"))
     reaching = fronts.where(most >= F.sqrt("left_norm") * F.sqrt("right_norm") * (least - 1e-9))
     # A set goes once to each group of pairs, not once for each of its pairs.
     sets = weighted.select(F.col("class_id").alias("record_id"), "codes", "norm")
-    both = faced(reaching.select("left_id", "right_id", F.col("left_id").alias("key")), sets, sets)
+    both = faced(reaching.select("left_id", "right_id"), sets, sets, lowest=True)
     release(heads)
     release(weighted)
     product = squares(F.array_intersect("left_codes", "right_codes"))
